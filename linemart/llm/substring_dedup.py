@@ -159,10 +159,7 @@ def _merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     estimate = None
     for row in (0, 1):
         at = [o + ((c >> np.uint32(16 * row)) & np.uint32(0xFFFF)) for o, c in zip(base, cells, strict=True)]
-        total = np.zeros(SKETCHES * WIDTH, np.int64)
-        for a in at:
-            total += np.bincount(a, minlength=SKETCHES * WIDTH)
-        twice = total >= 2
+        twice = np.bincount(np.concatenate(at), minlength=SKETCHES * WIDTH) >= 2
         found = [twice[a] for a in at]
         estimate = found if estimate is None else [x & y for x, y in zip(estimate, found, strict=True)]
     bits = [np.packbits(x).tobytes() for x in estimate]
