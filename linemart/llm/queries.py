@@ -7,12 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemart.llm import quality_rules, secret_scan, simhash_golay, substring_dedup
+from linemart.llm import html_wrapper, mixing, quality_rules, secret_scan, sentencepiece_sa, simhash_golay, substring_dedup, topk, url_filter, warc
 from linemart.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: The rules that the contract of op1 names, and words of hosts that label a url as one to block.
+URL_RULES = [url_filter.UrlRule("block", "net/"), url_filter.UrlRule("allow", "example.net/en/"), url_filter.UrlRule("block", "example.com/de/"), url_filter.UrlRule("allow", "org/fr/")]
+BLOCK_WORDS = ["ads", "adult", "bets", "casino", "pills", "porn", "spam", "track"]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labelled = pages.select("url", url_filter.host_of(F.col("url")).rlike(r"(?:^|[.-])(?:" + "|".join(BLOCK_WORDS) + r")(?:[.-]|$)").cast("int").alias("label"))
+    return url_filter.judge(pages, URL_RULES, url_filter.fit(labelled)).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     of = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -22,6 +33,15 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    path = model_path or public_tokenizers.path("piece_bpe_32k.model")
+    made = sentencepiece_sa.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    back = sentencepiece_sa.decode(made, path)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -45,6 +65,40 @@ def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "source", "n_tokens", F.col("epoch").cast("long").alias("epoch"), "block", F.col("slot").cast("long").alias("slot"))
+
+
+def _op6_sql() -> str:
+    rounds = ["b0 AS (SELECT 0.0::DOUBLE AS low, 1.0::DOUBLE AS high)"]
+    for k in range(mixing.ROUNDS):
+        rounds.append(f"""
+t{k} AS (SELECT i, low + i * ((high - low) / {mixing.POINTS}) AS a FROM b{k}, range({0 if k == 0 else 1}, {mixing.POINTS}) AS r(i)),
+o{k} AS (SELECT i FROM (SELECT i, sum(pow(p, a)) AS z, max(pow(p, a) / tokens) AS most FROM t{k}, shares GROUP BY i) WHERE most / z * (SELECT total::DOUBLE FROM tot) <= 1.25),
+b{k + 1} AS (SELECT low + (n - 1) * ((high - low) / {mixing.POINTS}) AS low, low + n * ((high - low) / {mixing.POINTS}) AS high FROM b{k}, (SELECT coalesce(min(i), {mixing.POINTS}) AS n FROM o{k}))""")
+    return rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS n_tokens,
+                  md5('7:' || doc_id) AS key FROM documents),
+src AS (SELECT source, sum(n_tokens)::BIGINT AS tokens FROM d GROUP BY source),
+tot AS (SELECT sum(tokens)::BIGINT AS total FROM src),
+shares AS (SELECT tokens / (SELECT total::DOUBLE FROM tot) AS p, tokens FROM src WHERE tokens > 0),
+{', '.join(rounds)},
+a AS (SELECT CASE WHEN EXISTS (SELECT 1 FROM o0 WHERE i = 0) THEN 0.0 ELSE (SELECT high FROM b{mixing.ROUNDS}) END AS a),
+u AS (SELECT source, tokens, pow(tokens / (SELECT total::DOUBLE FROM tot), (SELECT a FROM a)) AS u FROM src WHERE tokens > 0),
+q AS (SELECT source, tokens, floor(u / (SELECT sum(u) FROM u) * (SELECT total FROM tot))::BIGINT AS quota FROM u),
+p AS (SELECT d.*, tokens, quota, quota // tokens AS passes,
+             coalesce(sum(n_tokens) OVER (PARTITION BY d.source ORDER BY pm, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
+      FROM (SELECT *, ('0x' || substr(key, 1, 12))::BIGINT % (SELECT greatest(1, ceil(count(*) / 4096.0))::BIGINT FROM d) AS pm FROM d) d JOIN q USING (source)),
+c AS (SELECT *, unnest(range(0, passes + CASE WHEN place < quota - passes * tokens THEN 1 ELSE 0 END)) AS epoch FROM p),
+n AS (SELECT greatest(1, ceil(total / 1048576.0))::BIGINT AS blocks FROM tot),
+k AS (SELECT *, least(floor((epoch * tokens + place) * (SELECT blocks FROM n) / greatest(quota, 1)::DOUBLE)::BIGINT, (SELECT blocks FROM n) - 1) AS block FROM c)
+SELECT doc_id, source, n_tokens, epoch::BIGINT AS epoch, block,
+       row_number() OVER (PARTITION BY block ORDER BY md5('8:' || doc_id || ':' || epoch), key)::BIGINT AS slot
+FROM k
+"""
+
+
 def op7_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -54,7 +108,7 @@ def op7_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP7_SQL = r"""
 WITH docs AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents),
 wins AS (
   SELECT doc_id, s, array_to_string(list_slice(w, s, s + 2), ' ') AS g
@@ -78,10 +132,49 @@ FROM b
 """
 
 
+def op8_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = html_wrapper.extract(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op9_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT page_id, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31)::INT + 1, 1), '' ORDER BY i, s DESC) AS payload_digest
+      FROM (SELECT page_id, i, ('0x' || substr(h, 5 * i + 1, 5))::INT AS v, unnest([15, 10, 5, 0]) AS s FROM p, range(8) AS r(i)) GROUP BY page_id),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM p JOIN g USING (page_id))
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+def op10_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+OP10_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
 def queries() -> dict[str, Query]:
-    found = [op2_secret_scan, op4_substring_dedup, op5_simhash_golay, op7_quality_cascade]
+    found = [
+        op1_url_filter, op2_secret_scan, op3_sentencepiece, op4_substring_dedup, op5_simhash_golay,
+        op6_temperature_mix, op7_quality_cascade, op8_html_wrapper, op9_warc_chunks, op10_threshold_topk,
+    ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_substring_dedup": OP4_SQL, "op7_quality_cascade": OP7_SQL}
+    return {"op4_substring_dedup": OP4_SQL, "op6_temperature_mix": _op6_sql(), "op7_quality_cascade": OP7_SQL, "op9_warc_chunks": OP9_SQL, "op10_threshold_topk": OP10_SQL}
