@@ -145,3 +145,13 @@ def quality(docs: DataFrame, text_col: str = "text", rules: list[Rule] | None =
     cascade = [Rule("base", F.col("base_failed")), *order_rules(docs, rules)]
     out = with_measures(docs, text_col).withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
     return out.withColumn("kept", verdict(cascade).isNull())
+
+
+def keep(docs: DataFrame, text_col: str = "text", rules: list[Rule] | None = None) -> DataFrame:
+    """docs without what the rules reject.
+
+    The row number stops the optimiser from moving the condition below the steps that it is computed in, where each
+    step's array would be built again for every element of the next.
+    """
+    judged = quality(docs, text_col, rules).withColumn("_at", F.monotonically_increasing_id())
+    return judged.filter(F.col("kept") & (F.col("_at") >= 0)).select(*docs.columns)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linemart.llm.shared import checkpointed
+from linemart.llm.shared import checkpointed, stored
 
 SEED = 42
 #: Generator polynomial of the binary Golay code: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
@@ -99,40 +99,51 @@ def shingle_hashes(text: bytes, size: int, lower: bool = True) -> np.ndarray:
     return np.fromiter((h(b" ".join(x), SEED) for x in zip(*(w[k:] for k in range(size)), strict=False)), np.uint64, n)
 
 
-def majority(h: np.ndarray, weights: np.ndarray | None = None) -> int:
-    """Bits that are set in over half of h (by weight); zero for none."""
-    if not len(h):
-        return 0
-    total = np.zeros(64)
+def majority(h: np.ndarray) -> int:
+    """Bits that are set in over half of h; zero for none."""
+    total = np.zeros(64, np.int64)
     for k in range(0, len(h), 1 << 16):
         bits = np.unpackbits(h[k : k + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        total += bits.sum(0, dtype=np.int64) if weights is None else weights[k : k + (1 << 16)] @ bits
-    half = len(h) if weights is None else weights.sum()
-    return int.from_bytes(np.packbits(total * 2 > half, bitorder="little").tobytes(), "little")
+        total += bits.sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(total * 2 > len(h), bitorder="little").tobytes(), "little")
 
 
 def heavy_weights(h: np.ndarray, seed: int) -> np.ndarray:
     """1 / u^2 with u a hash of the shingle in (0, 1]: equal in every text, and so uneven that few shingles decide."""
-    mixed = (h ^ np.uint64((seed * 0x9E3779B97F4A7C15) & (2**64 - 1))) * np.uint64(0xD6E8FEB86659FD93)
+    mixed = (h ^ np.uint64((seed * 0x9E3779B97F4A7C15 + 1) & (2**64 - 1))) * np.uint64(0xD6E8FEB86659FD93)
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     mixed ^= mixed >> np.uint64(32)
     return (((mixed >> np.uint64(11)).astype(np.float64) + 1) / 2.0**53) ** -2
 
 
+def heavy_prints(h: np.ndarray, count: int) -> list[int]:
+    """`count` weighted fingerprints of a set of shingles."""
+    h = np.unique(h)
+    if not len(h):
+        return [0] * count
+    w = np.stack([heavy_weights(h, r) for r in range(count)])
+    total = np.zeros((count, 64))
+    for k in range(0, len(h), 1 << 14):
+        bits = np.unpackbits(h[k : k + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        total += w[:, k : k + (1 << 14)] @ bits.astype(np.float64)
+    ones = np.packbits(total * 2 > w.sum(1)[:, None], axis=1, bitorder="little")
+    return ones.view("<u8").ravel().tolist()
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, heavy: int = 0) -> DataFrame:
     """(id, fp long) per row; with heavy > 0 (id, r, fp) for as many fingerprints with heavy-tailed weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hashes = (shingle_hashes(t or b"", shingle) for t in b.column(1).cast(pa.binary()).to_pylist())
+            made = np.array([heavy_prints(h, heavy) if heavy else [majority(h)] for h in hashes], np.uint64).reshape(-1)
+            fp = pa.array(made.view(np.int64))
             if heavy:
-                made = [[majority(u, heavy_weights(u, r)) for r in range(heavy)] for u in map(np.unique, hashes)]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), heavy))), pa.array(np.tile(np.arange(heavy, dtype=np.int32), b.num_rows)),
-                     pa.array(np.array(made, np.uint64).reshape(-1).view(np.int64))], names=["id", "r", "fp"])
+                at = pa.array(np.repeat(np.arange(b.num_rows), heavy))
+                r = pa.array(np.tile(np.arange(heavy, dtype=np.int32), b.num_rows))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(at), r, fp], names=["id", "r", "fp"])
             else:
-                made = np.array([majority(h) for h in hashes], np.uint64)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made.view(np.int64))], names=["id", "fp"])
+                yield pa.RecordBatch.from_arrays([b.column(0), fp], names=["id", "fp"])
 
     cols = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = cols.schema["id"].dataType.simpleString()
@@ -171,7 +182,7 @@ def links(prints: DataFrame, small: int = 64) -> DataFrame:
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """(node, root) for every node of edges (a, b): root is the smallest node reachable. Alternates large and small stars."""
-    now = checkpointed(edges.select("a", "b").filter("a <> b"))
+    now = checkpointed(edges.select("a", "b").filter("a <> b").distinct())
     before = None
     for _ in range(max_rounds):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -199,3 +210,64 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = named.join(lowest, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def _verified(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [[np.frombuffer(x, np.uint64) for x in b.column(k).to_pylist()] for k in (2, 3)]
+            keep = []
+            for x, y in zip(*sets, strict=True):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _shingle_sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [np.unique(shingle_hashes(t or b"", shingle)).tobytes() for t in b.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], names=["key", "shingles"])
+
+    return run
+
+
+def similar_links(docs: DataFrame, text_col: str = "text", shingle: int = 5, similarity: float = 0.8, prints: int = 6) -> DataFrame:
+    """Links (a, b) between the MD5 keys of distinct texts whose sets of word shingles have at least this Jaccard similarity.
+
+    A plain SimHash differs in about ten bits at a similarity of 0.8. Here each text has several fingerprints whose
+    shingles have heavy-tailed weights, the same in every text: mostly one shingle decides, so two fingerprints are
+    within two bits about as often as the texts are similar, and one of `prints` nearly surely is. Candidates are
+    stars: a text and the first of its fingerprint, of two successive fingerprints, and of a linked fingerprint.
+    Each is then verified on whole texts.
+    """
+    texts = docs.select(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("key"), F.col(text_col).alias("text"))
+    made = checkpointed(fingerprints(texts, "key", "text", shingle, prints).groupBy("id", "r").agg(F.first("fp").alias("fp")).withColumnRenamed("id", "key"))
+    first = made.groupBy("r", "fp").agg(F.min("key").alias("a"))
+    near = links(first.select("r", "fp"))
+    of = lambda name: first.select("r", F.col("fp").alias(name), F.col("a").alias(f"key_{name}"))
+    linked = near.join(of("a"), ["r", "a"]).join(of("b"), ["r", "b"]).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+    follow = made.select("key", F.pmod(F.col("r") - 1, F.lit(prints)).alias("r"), F.col("fp").alias("fp2"))
+    pairs = made.join(follow, ["key", "r"])
+    first2 = pairs.groupBy("r", "fp", "fp2").agg(F.min("key").alias("a"))
+    stars = made.join(first, ["r", "fp"]).select("a", F.col("key").alias("b"))
+    stars2 = pairs.join(first2, ["r", "fp", "fp2"]).select("a", F.col("key").alias("b"))
+    asked = stars.union(stars2).union(linked).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    asked = checkpointed(asked)
+    nodes = asked.select(F.col("a").alias("key")).union(asked.select("b")).distinct()
+    sets = stored(texts.join(nodes, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")).mapInArrow(_shingle_sets(shingle), "key string, shingles binary"))
+    both = asked.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(_verified(similarity), "a string, b string")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs without near copies: of each group of similar texts the row with the smallest id stays."""
+    key = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    roots = components(similar_links(docs, text_col, shingle, similarity))
+    rows = docs.groupBy(key.alias("_key"), F.col(id_col).alias("_id")).agg(F.count("*").alias("_n"))
+    rooted = rows.join(roots, rows["_key"] == roots["node"], "left").withColumn("_root", F.coalesce("root", "_key"))
+    stay = rooted.groupBy("_root").agg(F.min(F.struct("_id", "_key", "_n")).alias("s")).select("s.*")
+    left = docs.join(stay, (key == F.col("_key")) & F.col(id_col).eqNullSafe(F.col("_id")))
+    return left.filter("_n = 1").select(*docs.columns).union(left.filter("_n > 1").dropDuplicates(["_key", "_id"]).select(*docs.columns))
