@@ -14,38 +14,28 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linemart.llm.shared import stored
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CHUNKS = "archive int, record string, chunk int, data binary, running string"
 
 
-def payload_digest(payload: Column) -> Column:
-    """Bare upper-case base32 SHA-1 of a binary column: five bits of the digest for each letter."""
-    digest = F.sha1(payload)
-    parts = []
-    for k in range(0, 40, 5):
-        part = F.conv(F.substring(digest, k + 1, 5), 16, 10).cast("int")
-        parts += [F.substring(F.lit(ALPHABET), F.shiftright(part, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
-    return F.concat(*parts)
-
-
 def with_roles(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", min_bytes: int = 0) -> DataFrame:
-    """pages with `digest` and `refers_to`, null for responses. Equal payloads meet as digests, not as payloads."""
+    """pages with `digest` (SHA-1, hexadecimal) and `refers_to`, null for responses. Equal payloads meet as digests, not as payloads."""
     payload = F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8")
-    digests = pages.select(F.col(id_col).alias("_id"), payload_digest(payload).alias("_digest"), F.octet_length(payload).alias("_bytes"))
+    digests = pages.select(F.col(id_col).alias("_id"), F.sha1(payload).alias("_digest"), F.octet_length(payload).alias("_bytes"))
     large = digests.filter((F.col("_bytes") >= min_bytes) & F.col("_id").isNotNull())
     first = large.groupBy("_digest", "_bytes").agg(F.min("_id").alias("refers_to"), F.max("_id").alias("last"))
     repeated = first.filter(F.col("last") > F.col("refers_to")).drop("last")
     again = large.join(repeated, ["_digest", "_bytes"]).filter("_id > refers_to").select("_id", "_digest", "refers_to").distinct()
-    own = pages.withColumn("digest", payload_digest(payload))
+    own = pages.withColumn("digest", F.sha1(payload))
     return own.join(again, (F.col(id_col) == F.col("_id")) & (F.col("digest") == F.col("_digest")), "left").drop("_id", "_digest")
 
 
@@ -53,6 +43,12 @@ def _header(fields: list[tuple[str, str]]) -> bytes:
     return "".join(f"{k}: {v}\r\n" for k, v in fields).encode()
 
 
+def member(parts: list) -> bytes:
+    """A gzip member of the parts."""
+    z = zlib.compressobj(1, zlib.DEFLATED, 31)
+    return b"".join([*map(z.compress, parts), z.flush()])
+
+
 def _safe(url: str) -> str:
     return "".join(c if c > " " and c != "\x7f" else "".join(f"%{x:02X}" for x in c.encode()) for c in url)
 
@@ -94,12 +90,13 @@ def write_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
             size = 0
             for k in range(b.num_rows):
                 whole = payload[k].as_buffer() if payload[k].is_valid else b""
-                before, body, after = record_parts(page[k], url[k], whole, digest[k], refers_to[k], date)
+                name = base64.b32encode(bytes.fromhex(digest[k])).decode()
+                before, body, after = record_parts(page[k], url[k], whole, name, refers_to[k], date)
                 sha = hashlib.sha1(usedforsecurity=False)
                 cut, n = [body[a : a + chunk_bytes] for a in range(0, max(len(body), 1), chunk_bytes)], 0
                 for c in cut:
                     sha.update(c)
-                    data = b"".join([before if n == 0 else b"", c, after if n == len(cut) - 1 else b""])
+                    data = member([before if n == 0 else b"", c, after if n == len(cut) - 1 else b""])
                     held.append((archive[k], record[k], n, data, sha.hexdigest()))
                     n, size = n + 1, size + len(data)
                     if size > 4 * chunk_bytes:
@@ -173,7 +170,7 @@ def read_records(chunks: DataFrame) -> DataFrame:
                     if reader is not None:
                         rows.append(reader.row())
                     now, reader = record[k], Reader()
-                reader.take(b.column("data")[k].as_py(), running[k])
+                reader.take(zlib.decompress(b.column("data")[k].as_buffer(), 31), running[k])
             yield batch(rows)
         if reader is not None:
             yield batch([reader.row()])
