@@ -28,7 +28,7 @@ MARK = "▁"
 BPE = 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 #: Characters of distinct text indexed at once, rows of a batch encoded at once, and stretches remembered by a worker.
-INDEXED, ROWS, REMEMBERED = 400_000, 1024, 600_000
+INDEXED, ROWS, REMEMBERED = 200_000, 512, 200_000
 
 
 @dataclass(frozen=True)
@@ -82,12 +82,22 @@ class Encoder:
         self.sizes = np.array([len(p) for p in self.sorted.tolist()], np.int64)
         self.byte = {bytes([int(p[3:5], 16)]): k for k, (p, t) in enumerate(zip(model.pieces, model.types, strict=True)) if t == BYTE}
         self.unknown = next((k for k, t in enumerate(model.types) if t == UNKNOWN), 0)
-        inner = any(MARK in p[1:] and set(p) != {MARK} for p in self.id_of)
-        lines = any("\n" in p for p in self.id_of)
-        brk = "" if lines else "\n"
-        self.cut = re.compile(".+" if inner else rf"{MARK}+[^{MARK}{brk}]*|[^{MARK}{brk}]+" + ("" if lines else r"|\n+"), re.S)
+        self.cut = self.cutter()
+        self.bytes_of = self.decoder()
         self.known: dict[str, bytes] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.before: dict[str, bytes] = {}
+        self.fits: dict[int, bool] = {}
+
+    def cutter(self) -> re.Pattern:
+        """Stretches that no piece crosses: they end before marks of spaces, around line ends (in no piece), and between
+        a word of Latin letters and a sign that in no piece stands beside one."""
+        if any(MARK in p[1:] and set(p) != {MARK} or "\n" in p for p in self.id_of):
+            return re.compile(".+", re.S)
+        letter = "A-Za-z\u00c0-\u024f"
+        beside = {c for p in self.id_of for a, b in zip(p, p[1:], strict=False) for c, d in ((a, b), (b, a)) if re.match(f"[{letter}]", d)}
+        signs = "".join(re.escape(c) for c in ",.;:!?|#$%*&" if c not in beside) or "\n"
+        word, run = rf"{MARK}*[{letter}]+(?=[{signs}{MARK}\n]|\Z)", rf"{MARK}*[{signs}]+(?=[{MARK}\n{letter}]|\Z)"
+        return re.compile(rf"{word}|{run}|\n+|{MARK}*[^{MARK}\n]+|{MARK}+")
 
     def merged(self, text: str) -> list[str]:
         """BPE: adjacent parts whose text is a piece merge, the best score first, the leftmost of equal ones."""
@@ -105,12 +115,12 @@ class Encoder:
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return parts
 
-    def may_follow(self, a: int, b: int) -> bool:
-        """Whether merging the text of both pieces gives these back; a is -1 at the start of a stretch."""
-        ok = self.fits.get((a, b))
+    def may_follow(self, pair: int, wide: int) -> bool:
+        """Whether merging the text of both pieces gives these back; the first is -1 at the start of a stretch."""
+        ok = self.fits.get(pair)
         if ok is None:
-            x, y = self.name(a), self.name(b)
-            ok = self.fits[a, b] = self.merged(x + y) == ([x, y] if x else [y])
+            x, y = self.name(pair // wide - 1), self.name(pair % wide)
+            ok = self.fits[pair] = self.merged(x + y) == ([x, y] if x else [y])
         return ok
 
     def edges(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -129,8 +139,6 @@ class Encoder:
 
     def learn(self, stretches: list[str]) -> None:
         """Encodes distinct stretches, put together with a character between that is in no piece."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         if len(self.fits) > 4 * REMEMBERED:
             self.fits.clear()
         k = 0
@@ -167,7 +175,7 @@ class Encoder:
             before = last[start[e]]
             e, before = e[before > -2], before[before > -2]
             pairs, which = np.unique((before + 1) * wide + piece[e], return_inverse=True)
-            ok = np.array([self.may_follow(x // wide - 1, x % wide) for x in pairs.tolist()], bool)[which]
+            ok = np.array([self.may_follow(x, wide) for x in pairs.tolist()], bool)[which]
             last[start[e][ok] + size[e][ok]] = piece[e][ok]
         # back from the ends
         at, own, steps = base + lengths, np.arange(len(took)), []
@@ -199,35 +207,46 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit integers."""
         cut = [self.cut.findall((MARK if self.model.dummy_prefix else "") + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = {s for x in cut for s in x if s not in self.known}
-        if new:
-            self.learn(sorted(new))
-            gone = {s for x in cut for s in x if s not in self.known}
-            if gone:  # what was remembered made room
-                self.learn(sorted(gone))
+        if len(self.known) > REMEMBERED:  # what is still used moves over from the generation before
+            self.known, self.before = {}, self.known
+        new = set().union(*cut).difference(self.known)
+        old = new.intersection(self.before)
+        self.known.update((x, self.before[x]) for x in old)
+        self.learn(sorted(new - old))
         get = self.known.__getitem__
         return [b"".join(map(get, x)) for x in cut]
 
+    def decode(self, ids: list[int]) -> str:
+        """The text of ids without the space that encoding put before it; bytes that are no UTF-8 become U+FFFD."""
+        text = b"".join(map(self.bytes_of.__getitem__, ids))
+        return (text[1:] if self.model.dummy_prefix and text.startswith(b" ") else text).decode("utf-8", "replace")
+
     def decoder(self) -> list[bytes]:
         """The bytes that each id stands for."""
         kinds = {BYTE: lambda p: bytes([int(p[3:5], 16)]), CONTROL: lambda p: b"", UNKNOWN: lambda p: " ⁇ ".encode()}
         return [kinds.get(t, lambda p: p.replace(MARK, " ").encode())(p) for p, t in zip(self.model.pieces, self.model.types, strict=True)]
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[tuple, Encoder] = {}
 
 
 def _encoder(shared) -> Encoder:
     """One encoder for each worker and model."""
-    if shared.value.__class__ is not Model:
-        raise TypeError("a broadcast Model is expected")
-    return _encoders.setdefault(id(shared.value), Encoder(shared.value)) if id(shared.value) not in _encoders else _encoders[id(shared.value)]
+    key = (shared.value.pieces[-1], len(shared.value.pieces), shared.value.dummy_prefix)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(shared.value)
+    return _encoders[key]
+
 
+def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
+    """docs with `ids_col`, an array of piece ids, and if asked for with the text that they decode to.
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """docs with `ids_col`, an array of piece ids. The model (a vocabulary, bounded by its file) is broadcast."""
+    The model (a vocabulary, bounded by its file) is broadcast.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
-    k = docs.columns.index(text_col)
+    base = docs.drop(ids_col, *([decoded_col] if decoded_col else []))
+    k = base.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(shared)
@@ -236,32 +255,28 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
                 b = whole.slice(at, ROWS)
                 made = enc.encode([t or "" for t in b.column(k).to_pylist()])
                 ends = np.cumsum([0, *(len(x) // 4 for x in made)])
-                values = pa.array(np.frombuffer(b"".join(made), "<i4"))
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-                yield pa.RecordBatch.from_arrays([*b.columns, ids], names=[*b.schema.names, ids_col])
+                values = np.frombuffer(b"".join(made), "<i4")
+                cols = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))]
+                if decoded_col:
+                    cols.append(pa.array([enc.decode(np.frombuffer(x, "<i4").tolist()) for x in made], pa.string()))
+                yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, ids_col, *([decoded_col] if decoded_col else [])])
 
-    schema = docs.drop(ids_col).select("*", F.array().cast("array<int>").alias(ids_col)).schema
-    return docs.drop(ids_col).mapInArrow(run, schema)
+    schema = base.withColumn(ids_col, F.array().cast("array<int>"))
+    return base.mapInArrow(run, (schema.withColumn(decoded_col, F.lit("").cast("string")) if decoded_col else schema).schema)
 
 
 def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """rows with `text_col`, the text that the ids stand for; bytes that are no UTF-8 become U+FFFD."""
+    """rows with `text_col`, the text that the ids stand for."""
     shared = rows.sparkSession.sparkContext.broadcast(load_model(model_path))
-    k = rows.columns.index(ids_col)
+    base = rows.drop(text_col)
+    k = base.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(shared)
-        table, prefix = enc.decoder(), enc.model.dummy_prefix
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 b = whole.slice(at, ROWS)
-                flat = b.column(k).flatten().tolist()
-                out, done = [], 0
-                for size in b.column(k).value_lengths().to_pylist():
-                    text = b"".join(map(table.__getitem__, flat[done : done + (size or 0)]))
-                    done += size or 0
-                    out.append(text[1:] if prefix and text.startswith(b" ") else text)
-                texts = pa.array([x.decode("utf-8", "replace") for x in out], pa.string())
+                texts = pa.array([enc.decode(x or []) for x in b.column(k).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([*b.columns, texts], names=[*b.schema.names, text_col])
 
-    return rows.mapInArrow(run, rows.select("*", F.lit("").cast("string").alias(text_col)).schema)
+    return base.mapInArrow(run, base.withColumn(text_col, F.lit("").cast("string")).schema)
