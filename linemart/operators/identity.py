@@ -13,9 +13,12 @@ def valid_source_rows(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("month").isNotNull() & blank_to_null(F.col("licence")).isNotNull())
 
 
-def exclude_test_providers(rows: DataFrame) -> DataFrame:
-    """A row with a test name takes out its tax id and its licence in all months; a null tax id is not excluded by tax id."""
-    marked = rows.filter(is_test_provider(F.col("provider_name")))
+def exclude_test_providers(rows: DataFrame, reports: DataFrame | None = None) -> DataFrame:
+    """A row with a test name takes out its tax id and its licence in all months; a null tax id is not excluded by tax id.
+
+    Names are looked for in `reports` if given: what gap filling carries adds none, and reports are fewer.
+    """
+    marked = (rows if reports is None else reports).filter(is_test_provider(F.col("provider_name")))
     by_tax = marked.select(clean_tax_id(F.col("tax_id_raw")).alias("_t")).filter("_t is not null").distinct()
     by_licence = marked.select(F.trim("licence").alias("_l")).distinct()
     left = rows.join(by_tax, clean_tax_id(F.col("tax_id_raw")) == F.col("_t"), "left_anti")
@@ -29,17 +32,18 @@ def test_provider_audit(rows: DataFrame) -> DataFrame:
     )
 
 
-def resolve_tax_id(rows: DataFrame) -> DataFrame:
-    """rows with tax_id: their own, or the latest that their licence ever had."""
+def resolve_tax_id(rows: DataFrame, reports: DataFrame | None = None) -> DataFrame:
+    """rows with tax_id: their own, or the latest that their licence ever had (in `reports` if given)."""
     own = rows.withColumn("_own", clean_tax_id(F.col("tax_id_raw")))
-    known = latest_per_key(own.filter("_own is not null").select("licence", "month", "_own"), ["licence"], ["month", "_own"], ["_own"])
+    told = own if reports is None else reports.withColumn("_own", clean_tax_id(F.col("tax_id_raw")))
+    known = latest_per_key(told.filter("_own is not null").select("licence", "month", "_own"), ["licence"], ["month", "_own"], ["_own"])
     known = known.select(F.col("licence").alias("_l"), F.col("_own").alias("_latest"))
     return own.join(known, F.col("licence") == F.col("_l"), "left").withColumn("tax_id", F.coalesce("_own", "_latest")).drop("_own", "_l", "_latest")
 
 
-def normalise(rows: DataFrame) -> DataFrame:
+def normalise(rows: DataFrame, reports: DataFrame | None = None) -> DataFrame:
     """Valid rows without test providers, with tax_id, provider_id, geography_id and period_id."""
-    resolved = resolve_tax_id(exclude_test_providers(valid_source_rows(rows)))
+    resolved = resolve_tax_id(exclude_test_providers(valid_source_rows(rows), reports), reports)
     return resolved.withColumns({
         "provider_id": assign_provider_id(F.col("tax_id"), F.col("licence")),
         "geography_id": assign_geography_id(F.col("province_code"), F.col("canton_code"), F.col("parish_code"), F.col("parish_code")),
@@ -78,7 +82,7 @@ def classify_conflict(pairs: DataFrame) -> DataFrame:
     return pairs.withColumns({
         "category": F.when(is_a, "A_DUPLICADO_MIGRACION_CODIFICACION").when(holder, "B_SECUENCIA_MISMO_TITULAR").otherwise("C_NOMBRES_DISTINTOS_MISMO_RUC"),
         "discarded_licence": F.when(is_a, F.when(old_a, F.col("licence_a")).otherwise(F.col("licence_b"))),
-        "action": F.when(is_a, "DESCARTAR_LEGADO").when(apart, "SIN_CONFLICTO_NO_COEXISTEN").otherwise("REVISION_MANUAL_SIETEL"),
+        "action": F.when(is_a, "DESCARTAR_LEGADO").when(apart, "SIN_CONFLICTO_NO_COEXISTEN").otherwise("REVISION_MANUAL"),
         "review_state": F.when(is_a | apart, "CONFIRMADO_AUTOMATICO").otherwise("PENDIENTE"),
     })
 

@@ -74,7 +74,7 @@ class Mart:
 
     @cached_property
     def normalised(self) -> DataFrame:
-        return identity.normalise(self.consolidated)
+        return identity.normalise(self.consolidated, self.summary)
 
     @cached_property
     def licence_geo(self) -> DataFrame:
@@ -86,7 +86,7 @@ class Mart:
 
     @cached_property
     def geographies(self) -> DataFrame:
-        return dims.geography_dimension(self.normalised)
+        return dims.geography_dimension(identity.normalise(self.summary))  # gap filling carries names and adds none
 
     @cached_property
     def bridge(self) -> DataFrame:

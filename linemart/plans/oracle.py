@@ -71,7 +71,7 @@ CTES = {
     "stopped": "SELECT p.provider_id, provider_name, tax_id, statuses, is_cancelled, first_reported, last_reported, coalesce(sum(f.lines_reported) FILTER (f.month = last_reported), 0)::BIGINT AS lines_last_report, coalesce(sum(f.lines_reported), 0)::BIGINT AS lines_ever, ((year(r.ref) - year(last_reported)) * 12 + month(r.ref) - month(last_reported))::INT AS months_since FROM providers p LEFT JOIN fact f ON f.provider_id = p.provider_id CROSS JOIN (SELECT CAST(max(month) - INTERVAL 3 MONTH AS DATE) AS ref FROM fact) r WHERE first_reported IS NOT NULL GROUP BY ALL",
     "pairs": "SELECT a.tax_id, a.licence AS licence_a, a.provider_name AS provider_name_a, a.status AS status_a, b.licence AS licence_b, b.provider_name AS provider_name_b, b.status AS status_b FROM licences a JOIN licences b ON a.tax_id = b.tax_id AND a.licence < b.licence",
     "coexisting": "SELECT p.*, EXISTS (SELECT 1 FROM detail x JOIN detail y ON x.month = y.month WHERE x.licence = p.licence_a AND y.licence = p.licence_b) AS coexist FROM pairs p",
-    "conflicts": "SELECT *, CASE WHEN exact AND old_a <> old_b THEN 'A_DUPLICADO_MIGRACION_CODIFICACION' WHEN holder THEN 'B_SECUENCIA_MISMO_TITULAR' ELSE 'C_NOMBRES_DISTINTOS_MISMO_RUC' END AS category, CASE WHEN exact AND old_a <> old_b THEN CASE WHEN old_a THEN licence_a ELSE licence_b END END AS discarded_licence, CASE WHEN exact AND old_a <> old_b THEN 'DESCARTAR_LEGADO' WHEN holder AND NOT coexist THEN 'SIN_CONFLICTO_NO_COEXISTEN' ELSE 'REVISION_MANUAL_SIETEL' END AS action, CASE WHEN (exact AND old_a <> old_b) OR (holder AND NOT coexist) THEN 'CONFIRMADO_AUTOMATICO' ELSE 'PENDIENTE' END AS review_state FROM (SELECT *, lower(trim(provider_name_a)) = lower(trim(provider_name_b)) AS exact, lower(trim(provider_name_a)) = lower(trim(provider_name_b)) OR lower(provider_name_a) LIKE '%cancelad%' OR lower(provider_name_b) LIKE '%cancelad%' AS holder, upper(trim(status_a)) IN ('SI', 'NO', '-') AS old_a, upper(trim(status_b)) IN ('SI', 'NO', '-') AS old_b FROM coexisting)",
+    "conflicts": "SELECT *, CASE WHEN exact AND old_a <> old_b THEN 'A_DUPLICADO_MIGRACION_CODIFICACION' WHEN holder THEN 'B_SECUENCIA_MISMO_TITULAR' ELSE 'C_NOMBRES_DISTINTOS_MISMO_RUC' END AS category, CASE WHEN exact AND old_a <> old_b THEN CASE WHEN old_a THEN licence_a ELSE licence_b END END AS discarded_licence, CASE WHEN exact AND old_a <> old_b THEN 'DESCARTAR_LEGADO' WHEN holder AND NOT coexist THEN 'SIN_CONFLICTO_NO_COEXISTEN' ELSE 'REVISION_MANUAL' END AS action, CASE WHEN (exact AND old_a <> old_b) OR (holder AND NOT coexist) THEN 'CONFIRMADO_AUTOMATICO' ELSE 'PENDIENTE' END AS review_state FROM (SELECT *, lower(trim(provider_name_a)) = lower(trim(provider_name_b)) AS exact, lower(trim(provider_name_a)) = lower(trim(provider_name_b)) OR lower(provider_name_a) LIKE '%cancelad%' OR lower(provider_name_b) LIKE '%cancelad%' AS holder, upper(trim(status_a)) IN ('SI', 'NO', '-') AS old_a, upper(trim(status_b)) IN ('SI', 'NO', '-') AS old_b FROM coexisting)",
 }
 
 

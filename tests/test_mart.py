@@ -149,7 +149,7 @@ def test_conflict_classes(spark):
     rows = [("1", "a", "X", "SI", "b", "x ", "Nuevo", True), ("1", "a", "X", "Nuevo", "b", "X", "Nuevo", False), ("1", "a", "X - CANCELADO", "Nuevo", "b", "Y", "Nuevo", True), ("1", "a", "X", "Nuevo", "b", "Y", "Nuevo", False)]
     df = spark.createDataFrame(rows, "tax_id string, licence_a string, provider_name_a string, status_a string, licence_b string, provider_name_b string, status_b string, coexist boolean")
     got = [(r.category[0], r.discarded_licence, r.action, r.review_state) for r in identity.classify_conflict(df).collect()]
-    assert got == [("A", "a", "DESCARTAR_LEGADO", "CONFIRMADO_AUTOMATICO"), ("B", None, "SIN_CONFLICTO_NO_COEXISTEN", "CONFIRMADO_AUTOMATICO"), ("B", None, "REVISION_MANUAL_SIETEL", "PENDIENTE"), ("C", None, "REVISION_MANUAL_SIETEL", "PENDIENTE")]
+    assert got == [("A", "a", "DESCARTAR_LEGADO", "CONFIRMADO_AUTOMATICO"), ("B", None, "SIN_CONFLICTO_NO_COEXISTEN", "CONFIRMADO_AUTOMATICO"), ("B", None, "REVISION_MANUAL", "PENDIENTE"), ("C", None, "REVISION_MANUAL", "PENDIENTE")]
 
 
 def test_point_in_polygon_with_a_hole_and_borders():
