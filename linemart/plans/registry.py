@@ -286,7 +286,8 @@ add("months_stopped_histogram", lambda m: compliance.months_stopped_histogram(st
 add("count_by_category", lambda m: compliance.count_by_category(never(m), "compliance_class"), sql("SELECT compliance_class, count(*) AS n_rows FROM never GROUP BY compliance_class"))
 add("top_provinces", lambda m: compliance.top_categories(m.geographies, "province_name"), sql("SELECT province_name, count(*) AS n_rows FROM geographies GROUP BY province_name ORDER BY n_rows DESC, province_name LIMIT 15"))
 add("mart_checks", lambda m: quality.mart_checks(m.fact, m.share, m.hhi, m.market), sql(
-    "SELECT * FROM (VALUES " + ", ".join(f"('{c}', 0::BIGINT)" for c in ("shares_sum_to_100", "hhi_in_range", "provider_counts_add_up", "reported_and_imputed_sum", "no_share_without_report", "coverage_in_range", "cr2_cr4_ordered")) + ") v(\"check\", n_bad) UNION ALL SELECT 'bands_sum_to_lines', count(*) FROM fact WHERE " + " OR ".join("(" + " + ".join(f"coalesce({d}_{b}, 0)" for b in C.BAND_NAMES) + ") <> coalesce(lines, 0)" for d in ("dl", "ul"))))
+    "SELECT * FROM (VALUES " + ", ".join(f"('{c}', 0::BIGINT)" for c in ("shares_sum_to_100", "hhi_in_range", "provider_counts_add_up", "no_share_without_report", "coverage_in_range", "cr2_cr4_ordered")) + ") v(\"check\", n_bad) UNION ALL SELECT 'bands_sum_to_lines', count(*) FROM fact WHERE " + " OR ".join("(" + " + ".join(f"coalesce({d}_{b}, 0)" for b in C.BAND_NAMES) + ") <> coalesce(lines, 0)" for d in ("dl", "ul"))
+    + " UNION ALL SELECT 'reported_and_imputed_sum', count(*) FROM fact WHERE " + " OR ".join(f"coalesce({c}, 0) <> coalesce({c}_reported, 0) + coalesce({c}_imputed, 0)" for c in ["lines", *C.BAND_COLUMNS])))
 
 # Nodes
 
