@@ -77,8 +77,7 @@ t{k} AS (SELECT i, low + i * ((high - low) / {mixing.POINTS}) AS a FROM b{k}, ra
 o{k} AS (SELECT i FROM (SELECT i, sum(pow(p, a)) AS z, max(pow(p, a) / tokens) AS most FROM t{k}, shares GROUP BY i) WHERE most / z * (SELECT total::DOUBLE FROM tot) <= 1.25),
 b{k + 1} AS (SELECT low + (n - 1) * ((high - low) / {mixing.POINTS}) AS low, low + n * ((high - low) / {mixing.POINTS}) AS high FROM b{k}, (SELECT coalesce(min(i), {mixing.POINTS}) AS n FROM o{k}))""")
     return rf"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+'))::BIGINT AS n_tokens,
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens,
                   md5('7:' || doc_id) AS key FROM documents),
 src AS (SELECT source, sum(n_tokens)::BIGINT AS tokens FROM d GROUP BY source),
 tot AS (SELECT sum(tokens)::BIGINT AS total FROM src),
