@@ -28,14 +28,20 @@ def spine_to_reports(spine: DataFrame, reports: DataFrame, key: list[str], month
 def interior_locf(reports: DataFrame, key: list[str], month: str = "month", max_months: int | None = None) -> DataFrame:
     """All months of each series, with the values of the last report taken as a whole, and is_reported / is_imputed.
 
-    One window carries one struct, so a null measure of a real report stays null and is carried as null.
+    Each report gives its own month and those up to the next one of its series, so one window over the reports is all
+    that is shuffled, nothing is joined, and values that nobody reads are pruned. A null measure of a report stays null
+    and is carried as null. Months are first days; reports without a month give nothing; of reports that repeat a month
+    each stays and one is carried.
     """
     values = [c for c in reports.columns if c not in [*key, month]]
-    filled = spine_to_reports(gap_spine(reports, key, month, max_months), reports, key, month)
-    until = Window.partitionBy(*key).orderBy(month).rowsBetween(Window.unboundedPreceding, 0)
-    carried = filled.withColumn("_s", F.last("snapshot", ignorenulls=True).over(until))
-    reported = F.col("snapshot").isNotNull()
-    return carried.select(*key, month, *[F.col(f"_s.{c}").alias(c) for c in values], reported.alias("is_reported"), (~reported).alias("is_imputed"))
+    series = Window.partitionBy(*key)
+    dated = reports.filter(F.col(month).isNotNull()).withColumn("_end", F.add_months(F.lead(month).over(series.orderBy(month)), -1))
+    if max_months is not None:
+        dated = dated.withColumn("_limit", F.add_months(F.min(month).over(series), max_months - 1)).filter(F.col(month) <= F.col("_limit"))
+        dated = dated.withColumn("_end", F.least("_end", "_limit"))
+    filled = dated.withColumn("_m", F.explode(F.sequence(month, F.greatest(month, "_end"), F.expr("interval 1 month"))))
+    reported = F.col("_m") == F.col(month)
+    return filled.select(*key, F.col("_m").alias(month), *values, reported.alias("is_reported"), (~reported).alias("is_imputed"))
 
 
 def gapfill_forecast(reports: DataFrame, key: list[str], month: str = "month") -> DataFrame:

@@ -41,12 +41,16 @@ def resolve_tax_id(rows: DataFrame, reports: DataFrame | None = None) -> DataFra
     return own.join(known, F.col("licence") == F.col("_l"), "left").withColumn("tax_id", F.coalesce("_own", "_latest")).drop("_own", "_l", "_latest")
 
 
+def geography(rows: DataFrame) -> Column:
+    return assign_geography_id(rows["province_code"], rows["canton_code"], rows["parish_code"], rows["parish_code"])
+
+
 def normalise(rows: DataFrame, reports: DataFrame | None = None) -> DataFrame:
     """Valid rows without test providers, with tax_id, provider_id, geography_id and period_id."""
     resolved = resolve_tax_id(exclude_test_providers(valid_source_rows(rows), reports), reports)
     return resolved.withColumns({
         "provider_id": assign_provider_id(F.col("tax_id"), F.col("licence")),
-        "geography_id": assign_geography_id(F.col("province_code"), F.col("canton_code"), F.col("parish_code"), F.col("parish_code")),
+        "geography_id": geography(resolved),
         "period_id": assign_period_id(F.col("month")),
     })
 

@@ -68,13 +68,18 @@ class Mart:
     def summary(self) -> DataFrame:
         return facts.monthly_line_summary(self.detail, [*NATURAL_KEY, *ATTRIBUTES])
 
+    @cached_property
+    def reporters(self) -> DataFrame:
+        """What each licence reported about itself, by month: few rows, of which names and tax ids are looked up."""
+        return self.detail.select("licence", "month", "tax_id_raw", "provider_name").distinct()
+
     @cached_property
     def consolidated(self) -> DataFrame:
         return gapfill.interior_locf(self.summary, SERIES)
 
     @cached_property
     def normalised(self) -> DataFrame:
-        return identity.normalise(self.consolidated, self.summary)
+        return identity.normalise(self.consolidated, self.reporters)
 
     @cached_property
     def licence_geo(self) -> DataFrame:
@@ -86,7 +91,9 @@ class Mart:
 
     @cached_property
     def geographies(self) -> DataFrame:
-        return dims.geography_dimension(identity.normalise(self.summary))  # gap filling carries names and adds none
+        named = self.detail.select("licence", "month", "tax_id_raw", "provider_name", *dims.GEOGRAPHY).distinct()  # gap filling carries names and adds none
+        real = identity.exclude_test_providers(identity.valid_source_rows(named), self.reporters)
+        return dims.geography_dimension(real.withColumn("geography_id", identity.geography(real)))
 
     @cached_property
     def bridge(self) -> DataFrame:
