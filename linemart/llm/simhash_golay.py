@@ -11,7 +11,8 @@ another exact way: each fingerprint gives itself and its 64 neighbours, and fing
 neighbour, where a star to the smallest stands for all pairs. Components follow by large and small stars.
 
 Equal fingerprints are one node throughout, so copies add no keys, pairs or links. Null texts are empty and have
-the fingerprint zero. Rows that repeat an id are judged one by one; a null id counts as the smallest. An empty table
+the fingerprint zero. Rows that repeat an id are judged one by one. A null id names a component only if no other id is
+there; where one of each group stays, it counts as the smallest. An empty table
 gives an empty result.
 """
 
