@@ -235,16 +235,119 @@ def _shingle_sets(shingle: int):
     return run
 
 
+def _postings(shingle: int, similarity: float, common: np.ndarray, counts: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for b in batches:
+            out: list[tuple[np.ndarray, int, int]] = []
+            for text, lo in zip(b.column(0).cast(pa.binary()).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if lo in seen:
+                    continue
+                if len(seen) >= 1 << 18:
+                    seen.clear()
+                seen.add(lo)
+                h = np.unique(shingle_hashes(text or b"", shingle))
+                if not len(h):  # texts without words are equal
+                    out.append((np.zeros(1, np.uint64), lo, 0))
+                    continue
+                seldom = np.zeros(len(h), np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+                    seldom = np.where(common[at] == h, counts[at], 0)
+                out.append((h[np.lexsort((h, seldom))][: len(h) - int(np.ceil(similarity * len(h) - 1e-6)) + 1], lo, len(h)))
+            if not out:
+                continue
+            sizes = [len(h) for h, _, _ in out]
+            made = [np.concatenate([h for h, _, _ in out]).view(np.int64), np.repeat(np.array([lo for _, lo, _ in out], np.int64), sizes)]
+            made.append(np.concatenate([(n << 32) + np.arange(len(h), dtype=np.int64) for h, _, n in out]))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=["shingle", "lo", "place"])
+
+    return run
+
+
+def _meetings(similarity: float, small: int):
+    """From postings sorted by shingle: (null, a, b, null) for pairs in small buckets, (shingle, a, null, place) for rows of large ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["shingle", "a", "b", "place"]
+        none = lambda n: pa.nulls(n, pa.int64())
+        held = np.zeros((3, 0), np.int64)
+        large: int | None = None  # the shingle of held if its bucket is known to be large
+
+        def met(x: np.ndarray, last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held, large
+            new = np.ones(x.shape[1], bool)
+            new[1:] = (x[0, 1:] != x[0, :-1]) | (x[1, 1:] != x[1, :-1])
+            x = x[:, new]
+            starts = np.flatnonzero(np.r_[True, x[0, 1:] != x[0, :-1]]) if x.shape[1] else np.zeros(0, np.int64)
+            sizes = np.diff(np.r_[starts, x.shape[1]])
+            is_large = sizes > small
+            if len(starts) and large is not None and x[0, 0] == large:
+                is_large[0] = True
+            held, large = np.zeros((3, 0), np.int64), None
+            if len(starts) and not last:
+                if is_large[-1]:  # one row stays, so that copies of it are seen
+                    large, held = int(x[0, -1]), x[:, -1:]
+                else:
+                    held, starts, sizes, is_large = x[:, starts[-1] :], starts[:-1], sizes[:-1], is_large[:-1]
+            rows = np.repeat(is_large, sizes)
+            if rows.any():
+                y = x[:, : len(rows)][:, rows]
+                yield pa.RecordBatch.from_arrays([pa.array(y[0]), pa.array(y[1]), none(y.shape[1]), pa.array(y[2])], names=names)
+            for m in np.unique(sizes[~is_large]):
+                if m < 2:
+                    continue
+                one, two = np.triu_indices(m, 1)
+                step = max(1, (1 << 18) // len(one))
+                own = starts[~is_large & (sizes == m)]
+                for k in range(0, len(own), step):
+                    i, j = ((own[k : k + step, None] + z).ravel() for z in (one, two))
+                    n = x[2] >> 32
+                    left = n - (x[2] & 0xFFFFFFFF)
+                    enough = (np.minimum(left[i], left[j]) >= similarity / (1 + similarity) * (n[i] + n[j]) - 1e-6) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-6)
+                    pairs = np.unique(x[1][np.stack([i[enough], j[enough]])], axis=1)
+                    yield pa.RecordBatch.from_arrays([none(pairs.shape[1]), pa.array(pairs[0]), pa.array(pairs[1]), none(pairs.shape[1])], names=names)
+
+        for b in batches:
+            yield from met(np.concatenate([held, np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in range(3)])], axis=1), False)
+        yield from met(held, True)
+
+    return run
+
+
+def prefix_meetings(texts: DataFrame, shingle: int, similarity: float, small: int = 64) -> DataFrame:
+    """Every pair of similar texts meets here: (null, a, b, null) in a small bucket, or (shingle, a, null, place) twice in a large one.
+
+    Two sets of this Jaccard similarity have a shingle in common among the first 1 - similarity of each, in whatever
+    order all shingles are put. Here shingles frequent in a sixteenth of the texts come last, so that a shared passage
+    makes no bucket; the counts have an effect on speed only. a and b are `lo`, a hash of the text's key.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = [np.unique(shingle_hashes(t or b"", shingle)) for t in b.column(0).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *h]).view(np.int64))], names=["shingle"])
+
+    counted = texts.filter("key < '1'").select("text").mapInArrow(whole, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
+    often = counted.filter("n >= 3").orderBy(F.desc("n"), "shingle").limit(1 << 18).toArrow()
+    common = often.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(common)
+    postings = texts.select("text", "lo").mapInArrow(_postings(shingle, similarity, common[order], often.column("n").to_numpy()[order]), "shingle long, lo long, place long")
+    dealt = postings.repartition("shingle").sortWithinPartitions("shingle", "lo")
+    return dealt.mapInArrow(_meetings(similarity, small), "shingle long, a long, b long, place long")
+
+
 def similar_links(docs: DataFrame, text_col: str = "text", shingle: int = 5, similarity: float = 0.8, prints: int = 6) -> DataFrame:
     """Links (a, b) between the MD5 keys of distinct texts whose sets of word shingles have at least this Jaccard similarity.
 
-    A plain SimHash differs in about ten bits at a similarity of 0.8. Here each text has several fingerprints whose
-    shingles have heavy-tailed weights, the same in every text: mostly one shingle decides, so two fingerprints are
-    within two bits about as often as the texts are similar, and one of `prints` nearly surely is. Candidates are
-    stars: a text and the first of its fingerprint, of two successive fingerprints, and of a linked fingerprint.
-    Each is then verified on whole texts.
+    All components, though not all pairs inside them. A plain SimHash differs in about ten bits at a similarity of 0.8.
+    Here each text has several fingerprints whose shingles have heavy-tailed weights, the same in every text: mostly
+    one shingle decides, so two fingerprints are within two bits about as often as the texts are similar. They give
+    stars: a text and the first of its fingerprint, of two successive fingerprints, and of a linked fingerprint. These
+    put large groups together at a cost in proportion to their size. What they leave apart, as texts that are not
+    similar to their centre but to each other, meets by `prefix_meetings`. Each pair is verified on whole texts.
     """
-    texts = docs.select(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("key"), F.col(text_col).alias("text"))
+    texts = docs.select(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("key"), F.col(text_col).alias("text")).withColumn("lo", F.xxhash64("key"))
     made = checkpointed(fingerprints(texts, "key", "text", shingle, prints).groupBy("id", "r").agg(F.first("fp").alias("fp")).withColumnRenamed("id", "key"))
     first = made.groupBy("r", "fp").agg(F.min("key").alias("a"))
     near = links(first.select("r", "fp"))
@@ -255,12 +358,30 @@ def similar_links(docs: DataFrame, text_col: str = "text", shingle: int = 5, sim
     first2 = pairs.groupBy("r", "fp", "fp2").agg(F.min("key").alias("a"))
     stars = made.join(first, ["r", "fp"]).select("a", F.col("key").alias("b"))
     stars2 = pairs.join(first2, ["r", "fp", "fp2"]).select("a", F.col("key").alias("b"))
-    asked = stars.union(stars2).union(linked).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    asked = checkpointed(asked)
-    nodes = asked.select(F.col("a").alias("key")).union(asked.select("b")).distinct()
-    sets = stored(texts.join(nodes, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")).mapInArrow(_shingle_sets(shingle), "key string, shingles binary"))
-    both = asked.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_verified(similarity), "a string, b string")
+    ordered = lambda df: df.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    asked = checkpointed(ordered(stars.union(stars2).union(linked).select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b"))))
+    meetings = checkpointed(prefix_meetings(texts, shingle, similarity).distinct())
+    met, large = ordered(meetings.filter("shingle is null").select("a", "b")), meetings.filter("shingle is not null").select("shingle", F.col("a").alias("lo"), "place")
+    nodes = asked.select(F.col("a").alias("lo")).union(asked.select("b")).union(met.select("a")).union(met.select("b")).union(large.select("lo")).distinct()
+    sets = stored(texts.join(nodes, "lo", "left_semi").groupBy("lo", "key").agg(F.first("text").alias("text")).select("key", "text").mapInArrow(_shingle_sets(shingle), "key string, shingles binary"))
+    sets = sets.withColumn("lo", F.xxhash64("key"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        side = lambda name, x: sets.select(F.col("lo").alias(name), F.col("key").alias(f"key_{name}"), F.col("shingles").alias(x))
+        both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+        return checkpointed(both.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "x", "y").mapInArrow(_verified(similarity), "a string, b string"))
+
+    found = verified(asked)
+    roots = checkpointed(components(found.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b"))))
+    root = lambda df, name: df.join(roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}")), name, "left").withColumn(f"root_{name}", F.coalesce(f"root_{name}", name))
+    met = root(root(met, "a"), "b").filter("root_a <> root_b").select("a", "b")
+    large = checkpointed(root(large, "lo").select("shingle", "lo", F.col("root_lo").alias("root"), F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("at")))
+    mixed = large.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("shingle")
+    large = large.join(mixed, "shingle")
+    other = large.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("lo", "root", "n", "at")])
+    enough = (F.least(F.expr("n - at"), F.expr("n2 - at2")) >= F.lit(similarity / (1 + similarity)) * F.expr("n + n2") - 1e-6) & (F.least("n", "n2") >= F.lit(similarity) * F.greatest("n", "n2") - 1e-6)
+    crossed = large.join(other, "shingle").filter(F.expr("lo < lo2 and root <> root2") & enough).select(F.col("lo").alias("a"), F.col("lo2").alias("b"))
+    return found.union(verified(met.union(crossed).distinct()))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:

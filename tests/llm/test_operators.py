@@ -181,6 +181,35 @@ def test_one_of_each_keeps_distinct_texts(spark):
     assert sorted(x.doc_id for x in simhash_golay.one_of_each(df).collect()) == [*range(10), 40]
 
 
+def test_one_of_each_finds_pairs_that_share_a_passage_with_thousands(spark):
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    passage = [word() for _ in range(200)]
+    rows = []
+    for k in range(1500):  # pairs that are 0.9 alike; 0.5 to 0.75 of each text is the passage, so others are at most 0.6 alike
+        own = [word() for _ in range(r.randint(70, 200))]
+        rows += [(2 * k, " ".join([*passage, *own])), (2 * k + 1, " ".join([*passage, *own[:-8], *[word() for _ in range(8)]]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(x.doc_id for x in simhash_golay.one_of_each(df).collect()) == [2 * k for k in range(1500)]
+
+
+@pytest.mark.parametrize("small", [2, 64])
+def test_prefixes_miss_no_pair(spark, small):
+    r = random.Random(8)
+    base = [[r.choice("abcdefghij") * r.randint(1, 5) for _ in range(r.randint(0, 60))] for _ in range(12)]
+    texts = [" ".join(w if r.random() > 0.03 else "x" for w in b) for b in base for _ in range(8)]
+    rows = [(f"{k:x}", t, k) for k, t in enumerate(texts)]
+    met, large = set(), {}
+    for x in simhash_golay.prefix_meetings(spark.createDataFrame(rows, "key string, text string, lo long").repartition(3), 5, 0.8, small).collect():
+        if x.shingle is None:
+            met.add((min(x.a, x.b), max(x.a, x.b)))
+        else:
+            large.setdefault(x.shingle, set()).add(x.a)
+    sets = [set(simhash_golay.shingle_hashes(t.encode(), 5).tolist()) for t in texts]
+    alike = {(a, b) for b in range(len(texts)) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert alike and all(p in met or any({*p} <= x for x in large.values()) for p in alike)
+
+
 def test_mixture(docs, none, spark):
     got = mixing.mix(docs, block_tokens=400).collect()
     again = mixing.mix(docs, block_tokens=400).collect()
