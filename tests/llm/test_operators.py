@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import random
 from collections import Counter
 
@@ -297,6 +298,18 @@ def test_html_without_an_article_drops_what_is_fixed(spark):
     assert all(f"Story {k} is long" in t and "Home" not in t for k, t in got.items())
 
 
+def test_html_malformed_pages_end():
+    cut = "<body><p>Text</p><a " + " ".join(f'data-a{k}="v"' for k in range(40))
+    assert [x for x in html_wrapper.walk(cut)][:3] == [("open", "body"), ("open", "p"), ("text", "Text")]
+    assert ("text", "b") in list(html_wrapper.walk("<p title='>' data-json=\"{'a':'>'}>b</p>"))
+    deep = ["<div class=x>" * 5000 + f"<p>story {k}</p>" for k in range(2)]
+    made = [html_wrapper.page_items(p) for p in deep]
+    whole = html_wrapper.joined(*made)
+    again = html_wrapper.Item.unpacked(json.loads(json.dumps(whole.packed())))
+    assert again.packed() == whole.packed() and len(again.packed()) == 5002
+    assert html_wrapper.main_text(deep[1], html_wrapper.roles(again)) == "story 1"
+
+
 def test_warc_round_trip(spark):
     rows = [(3, "http://a/", "x" * 5000), (1, "http://b/\r\nX: y", "é" * 10), (2, None, "é" * 10), (5, "u", None), (4, "u", ""), (7, "u", "é" * 10), (3, "http://a/", "x" * 5000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
