@@ -298,6 +298,17 @@ def test_html_without_an_article_drops_what_is_fixed(spark):
     assert all(f"Story {k} is long" in t and "Home" not in t for k, t in got.items())
 
 
+def test_html_copies_of_a_page_are_no_evidence(spark):
+    one = "<body><h1>T</h1><p>Text</p></body>"
+    frame = "<body><div><p>Welcome to the site</p></div><h2>T{k}</h2><p>Story {k} differs.</p></body>"
+    pages = [(k, "http://copies.example/", one) for k in range(5)] + [(5, "http://pair.example/", one), (6, "http://pair.example/", one)]
+    pages += [(10 + k, "http://two.example/", frame.format(k=k % 2)) for k in range(6)] + [(20 + k, "http://three.example/", frame.format(k=k % 3)) for k in range(6)]
+    pages += [(30 + k, "http://same.example/", f"<!-- {k} -->{one}") for k in range(4)]
+    got = {r.page_id: r.text for r in html_wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
+    assert {got[k] for k in [*range(7), *range(30, 34)]} == {"T Text"}
+    assert all("Welcome" in got[10 + k] and "Welcome" not in got[20 + k] and f"Story {k % 3} differs." in got[20 + k] for k in range(6))
+
+
 def test_html_malformed_pages_end():
     cut = "<body><p>Text</p><a " + " ".join(f'data-a{k}="v"' for k in range(40))
     assert [x for x in html_wrapper.walk(cut)][:3] == [("open", "body"), ("open", "p"), ("text", "Text")]
