@@ -2,9 +2,9 @@
 
 Features are built-in expressions on the url: lengths, depth, digit ratio, entropy of the host's characters, hyphens,
 parameter counts, and how often urls whose host ends in the same labels were labelled to block. The trees are fitted
-on at most `max_rows` labelled urls of each class, the first by hash, so the sample is bounded and the same each time;
-suffix counts come from the same sample, so their table is bounded by three times its rows and broadcast. All urls
-are then judged. If one class has no labelled url, the method allows everything.
+on at most `max_rows` labelled urls of each class, the first by hash, so the sample is bounded and the same each time.
+Suffix counts come from all distinct labelled urls; they are joined to the distinct hosts and these to the urls, without
+a broadcast of our own. All urls are then judged. If one class has no labelled url, the method allows everything.
 
 A null url, or one without "://", has an empty host and path and is judged on its features like any other. Of rules
 that fit, the longest text wins; equal ones are the same rule. Rows that repeat are judged alike; an empty table gives
@@ -89,11 +89,11 @@ class UrlModel:
     prior: float
 
     def features(self, lexical: DataFrame) -> DataFrame:
-        out = lexical
+        hosts = lexical.select("_host").distinct()
         for k, rates in enumerate(self.suffixes, 1):
             known = rates.select(F.col("suffix").alias(f"_s{k}"), F.col("rate").alias(f"rate{k}"))
-            out = out.join(F.broadcast(known), suffix(F.col("_host"), k) == F.col(f"_s{k}"), "left").drop(f"_s{k}")
-        out = out.fillna(self.prior, [f"rate{k}" for k in range(1, len(self.suffixes) + 1)])
+            hosts = hosts.join(known, suffix(F.col("_host"), k) == F.col(f"_s{k}"), "left").drop(f"_s{k}")
+        out = lexical.join(hosts, "_host", "left").fillna(self.prior, [f"rate{k}" for k in range(1, len(self.suffixes) + 1)])
         return VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(out)
 
     def blocks(self, df: DataFrame, url_col: str = "url", out_col: str = "blocks") -> DataFrame:
@@ -111,21 +111,22 @@ def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label", max
     """
     urls = labelled.select(F.col(url_col).alias("url"), F.col(label_col).cast("double").alias("label")).filter("url is not null and label in (0, 1)")
     n = dict(urls.groupBy("label").count().collect())
+    known = checkpointed(urls.dropDuplicates().withColumn("_host", host_of(F.col("url"))))
     low = lambda v: F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 1.5 * max_rows / n.get(v, 1))) + 1
     each = [urls.filter((F.col("label") == v) & low(v)).dropDuplicates().orderBy(F.xxhash64("url"), "url").limit(max_rows) for v in (0.0, 1.0)]
     sample = checkpointed(with_lexical(each[0].unionByName(each[1])))
-    counts = dict(sample.groupBy("label").count().collect())
-    if len(counts) < 2:
+    if sample.select("label").distinct().count() < 2:
         return UrlModel(None, [], 0.0)
+    counts = dict(known.groupBy("label").count().collect())
     prior = counts[1.0] / sum(counts.values())
     rates = [
-        checkpointed(sample.groupBy(suffix(F.col("_host"), k).alias("suffix")).agg(((F.sum("label") + prior * weight) / (F.count("*") + weight)).alias("rate")))
+        checkpointed(known.groupBy(suffix(F.col("_host"), k).alias("suffix")).agg(((F.sum("label") + prior * weight) / (F.count("*") + weight)).alias("rate")))
         for k in (1, 2, 3)
     ]
     model = UrlModel(None, rates, prior)
     trees = GBTClassifier(featuresCol="_features", labelCol="label", predictionCol="_prediction", maxIter=rounds, maxDepth=depth, maxBins=32, seed=7)
     trees.setRawPredictionCol("_raw").setProbabilityCol("_probability")
-    model.trees = trees.fit(model.features(sample).select("_features", "label").coalesce(1))
+    model.trees = trees.fit(model.features(sample).select("url", "_features", "label").coalesce(1).sortWithinPartitions("url", "label"))
     return model
 
 

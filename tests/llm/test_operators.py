@@ -278,6 +278,16 @@ def test_url_rules_and_trees(spark):
     assert url_filter.judge(df.limit(0), rules, url_filter.fit(labelled.limit(0))).count() == 0
 
 
+def test_url_rates_come_from_all_labelled_urls(spark):
+    r = random.Random(5)
+    block = [r.random() < 0.5 for _ in range(400)]
+    rows = [(5 * k + i, f"http://h{k:03}.example.com/{i}", int(b)) for k, b in enumerate(block) for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, label int")
+    model = url_filter.fit(df, max_rows=50)
+    assert model.suffixes[2].count() == 400 and model.prior == sum(block) / 400
+    assert all((x.verdict == "block") == bool(x.label) for x in url_filter.judge(df, [], model).collect())
+
+
 PAGE = (
     "<!DOCTYPE html><html><head><title>T{k}</title><script>var x='<p>no</p>';</script></head><body><header>Site name</header><nav><ul><li><a href=/a>Home</a></li></ul></nav>"
     "<!-- c --><div class='ad box'>Buy {k}</div><article><h1>Title &amp; {k}</h1>{body}</article><aside>side {k}</aside><section class=comments><p>nice {k}</p></section><footer>&copy; x</footer></body></html>"
