@@ -110,14 +110,13 @@ def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label", max
     A hash range that holds about half as many again as wanted is taken first, so what is sorted does not grow with the input.
     """
     urls = labelled.select(F.col(url_col).alias("url"), F.col(label_col).cast("double").alias("label")).filter("url is not null and label in (0, 1)")
-    n = dict(urls.groupBy("label").count().collect())
     known = checkpointed(urls.dropDuplicates().withColumn("_host", host_of(F.col("url"))))
-    low = lambda v: F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 1.5 * max_rows / n.get(v, 1))) + 1
-    each = [urls.filter((F.col("label") == v) & low(v)).dropDuplicates().orderBy(F.xxhash64("url"), "url").limit(max_rows) for v in (0.0, 1.0)]
+    counts = dict(known.groupBy("label").count().collect())
+    low = lambda v: F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 1.5 * max_rows / counts.get(v, 1))) + 1
+    each = [known.select("url", "label").filter((F.col("label") == v) & low(v)).orderBy(F.xxhash64("url"), "url").limit(max_rows) for v in (0.0, 1.0)]
     sample = checkpointed(with_lexical(each[0].unionByName(each[1])))
-    if sample.select("label").distinct().count() < 2:
+    if len(counts) < 2:
         return UrlModel(None, [], 0.0)
-    counts = dict(known.groupBy("label").count().collect())
     prior = counts[1.0] / sum(counts.values())
     rates = [
         checkpointed(known.groupBy(suffix(F.col("_host"), k).alias("suffix")).agg(((F.sum("label") + prior * weight) / (F.count("*") + weight)).alias("rate")))

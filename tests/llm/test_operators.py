@@ -288,6 +288,15 @@ def test_url_rates_come_from_all_labelled_urls(spark):
     assert all((x.verdict == "block") == bool(x.label) for x in url_filter.judge(df, [], model).collect())
 
 
+def test_url_sample_takes_few_urls_of_many_rows(spark):
+    few = spark.range(200000).select(F.concat(F.lit("http://bad.example.com/"), F.col("id") % 20).alias("url"), F.lit(1).alias("label"))
+    many = spark.range(200).select(F.concat(F.lit("http://good.example.org/"), F.col("id")).alias("url"), F.lit(0).alias("label"))
+    model = url_filter.fit(few.union(many), max_rows=50)
+    assert model.trees is not None
+    got = url_filter.judge(few.limit(20).union(many), [], model).select("label", "verdict").distinct().collect()
+    assert {tuple(x) for x in got} == {(1, "block"), (0, "allow")}
+
+
 PAGE = (
     "<!DOCTYPE html><html><head><title>T{k}</title><script>var x='<p>no</p>';</script></head><body><header>Site name</header><nav><ul><li><a href=/a>Home</a></li></ul></nav>"
     "<!-- c --><div class='ad box'>Buy {k}</div><article><h1>Title &amp; {k}</h1>{body}</article><aside>side {k}</aside><section class=comments><p>nice {k}</p></section><footer>&copy; x</footer></body></html>"
