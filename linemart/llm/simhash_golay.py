@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linemart.llm.shared import checkpointed, stored
+from linemart.llm.shared import bucketed, checkpointed, stored
 
 SEED = 42
 #: Generator polynomial of the binary Golay code: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
@@ -131,24 +131,16 @@ def heavy_prints(h: np.ndarray, count: int) -> list[int]:
     return ones.view("<u8").ravel().tolist()
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, heavy: int = 0) -> DataFrame:
-    """(id, fp long) per row; with heavy > 0 (id, r, fp) for as many fingerprints with heavy-tailed weights."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """(id, fp long) per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hashes = (shingle_hashes(t or b"", shingle) for t in b.column(1).cast(pa.binary()).to_pylist())
-            made = np.array([heavy_prints(h, heavy) if heavy else [majority(h)] for h in hashes], np.uint64).reshape(-1)
-            fp = pa.array(made.view(np.int64))
-            if heavy:
-                at = pa.array(np.repeat(np.arange(b.num_rows), heavy))
-                r = pa.array(np.tile(np.arange(heavy, dtype=np.int32), b.num_rows))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(at), r, fp], names=["id", "r", "fp"])
-            else:
-                yield pa.RecordBatch.from_arrays([b.column(0), fp], names=["id", "fp"])
+            made = [majority(shingle_hashes(t or b"", shingle)) for t in b.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(made, np.uint64).view(np.int64))], names=["id", "fp"])
 
     cols = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = cols.schema["id"].dataType.simpleString()
-    return cols.mapInArrow(run, f"id {kind}, {'r int, ' if heavy else ''}fp long")
+    return cols.mapInArrow(run, f"id {cols.schema['id'].dataType.simpleString()}, fp long")
 
 
 def _with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +157,8 @@ def links(prints: DataFrame, small: int = 64) -> DataFrame:
 
     All links inside small buckets; for large ones a set of links with the same components.
     """
-    keyed = prints.mapInArrow(_with_keys, "key long, r int, fp long")
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # each row gives fifteen, so all tasks take part
+    keyed = prints.repartition(parts, "r", "fp").mapInArrow(_with_keys, "key long, r int, fp long")
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = checkpointed(keyed.join(sizes, "key"))
     few = shared.filter(F.col("n") <= small)
@@ -181,11 +174,14 @@ def links(prints: DataFrame, small: int = 64) -> DataFrame:
     return pairs.select("r", F.col("fp").alias("a"), "b").unionByName(stars).distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """(node, root) for every node of edges (a, b): root is the smallest node reachable. Alternates large and small stars."""
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) for every node of edges (a, b): root is the smallest node reachable.
+
+    Alternates large and small stars until nothing changes, which takes few rounds at any size and has no limit.
+    """
     now = checkpointed(edges.select("a", "b").filter("a <> b").distinct())
     before = None
-    for _ in range(max_rounds):
+    while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -195,9 +191,8 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         now = checkpointed(small.filter("a <> b").distinct())
         mark = now.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long")), F.bit_xor(F.xxhash64("a", "b"))).first()
         if mark == before:
-            break
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
         before = mark
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -213,12 +208,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def _verified(similarity: float):
+def _verified(shingle: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[int, np.ndarray] = {}  # of first texts, which repeat where they are a centre
+
+        def made(text: bytes | None) -> np.ndarray:
+            return np.unique(shingle_hashes(text or b"", shingle))
+
         for b in batches:
-            sets = [[np.frombuffer(x, np.uint64) for x in b.column(k).to_pylist()] for k in (2, 3)]
+            first, texts = b.column(0).to_pylist(), [b.column(k).cast(pa.binary()) for k in (2, 3)]
             keep = []
-            for x, y in zip(*sets, strict=True):
+            for k, a in enumerate(first):
+                if a not in sets:
+                    if len(sets) >= 64:
+                        sets.clear()
+                    sets[a] = made(texts[0][k].as_py())
+                x, y = sets[a], made(texts[1][k].as_py())
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both >= similarity * (len(x) + len(y) - both))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
@@ -226,41 +231,63 @@ def _verified(similarity: float):
     return run
 
 
-def _shingle_sets(shingle: int):
+#: Shingles counted at once, and how often one is there to be sent on: both bound what a task holds and sends.
+COUNTED, OFTEN = 1 << 21, 3
+
+
+def _prints_and_counts(shingle: int, prints: int):
+    """(v, r, fp) for each fingerprint of each text, and (count, -1, shingle) for shingles that many texts of a task share."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["v", "r", "fp"]
+        held: list[np.ndarray] = []
+
+        def counts() -> pa.RecordBatch:
+            h, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+            held.clear()
+            h, n = h[n >= OFTEN], n[n >= OFTEN]
+            return pa.RecordBatch.from_arrays([pa.array(n.astype(np.int64)), pa.array(np.full(len(n), -1, np.int32)), pa.array(h.view(np.int64))], names=names)
+
+        size = 0
         for b in batches:
-            made = [np.unique(shingle_hashes(t or b"", shingle)).tobytes() for t in b.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], names=["key", "shingles"])
+            made: list[int] = []
+            for text in b.column(1).cast(pa.binary()).to_pylist():
+                h = np.unique(shingle_hashes(text or b"", shingle))
+                made += heavy_prints(h, prints)
+                held.append(h)
+                size += len(h)
+                if size >= COUNTED:
+                    yield counts()
+                    size = 0
+            fp = np.array(made, np.uint64).view(np.int64)
+            at = pa.array(np.repeat(np.arange(b.num_rows), prints))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array(np.tile(np.arange(prints, dtype=np.int32), b.num_rows)), pa.array(fp)], names=names)
+        yield counts()
 
     return run
 
 
-def _postings(shingle: int, similarity: float, common: np.ndarray, counts: np.ndarray):
+def _postings(shingle: int, similarity: float, common: np.ndarray, counts: np.ndarray, hot: int):
+    """(shingle, v, place) for the prefix of each text; place holds the number of shingles and which one this is,
+    negative (bitwise not) for shingles known to be in more than `hot` texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for b in batches:
-            out: list[tuple[np.ndarray, int, int]] = []
-            for text, lo in zip(b.column(0).cast(pa.binary()).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if lo in seen:
-                    continue
-                if len(seen) >= 1 << 18:
-                    seen.clear()
-                seen.add(lo)
+            hashes, places, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
+            for text in b.column(1).cast(pa.binary()).to_pylist():
                 h = np.unique(shingle_hashes(text or b"", shingle))
-                if not len(h):  # texts without words are equal
-                    out.append((np.zeros(1, np.uint64), lo, 0))
+                if not len(h):  # without words: such texts are equal, and differ in white space only
+                    hashes.append(np.zeros(1, np.uint64)), places.append(np.zeros(1, np.int64)), sizes.append(1)
                     continue
-                seldom = np.zeros(len(h), np.int64)
+                often = np.zeros(len(h), np.int64)
                 if len(common):
                     at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-                    seldom = np.where(common[at] == h, counts[at], 0)
-                out.append((h[np.lexsort((h, seldom))][: len(h) - int(np.ceil(similarity * len(h) - 1e-6)) + 1], lo, len(h)))
-            if not out:
-                continue
-            sizes = [len(h) for h, _, _ in out]
-            made = [np.concatenate([h for h, _, _ in out]).view(np.int64), np.repeat(np.array([lo for _, lo, _ in out], np.int64), sizes)]
-            made.append(np.concatenate([(n << 32) + np.arange(len(h), dtype=np.int64) for h, _, n in out]))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=["shingle", "lo", "place"])
+                    often = np.where(common[at] == h, counts[at], 0)
+                order = np.lexsort((h, often))[: len(h) - int(np.ceil(similarity * len(h) - 1e-6)) + 1]
+                place = (len(h) << 32) + np.arange(len(order), dtype=np.int64)
+                hashes.append(h[order]), places.append(np.where(often[order] > hot, ~place, place)), sizes.append(len(order))
+            v = b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), sizes)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), v, pa.array(np.concatenate(places))], names=["shingle", "v", "place"])
 
     return run
 
@@ -276,24 +303,23 @@ def _meetings(similarity: float, small: int):
 
         def met(x: np.ndarray, last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal held, large
-            new = np.ones(x.shape[1], bool)
-            new[1:] = (x[0, 1:] != x[0, :-1]) | (x[1, 1:] != x[1, :-1])
-            x = x[:, new]
             starts = np.flatnonzero(np.r_[True, x[0, 1:] != x[0, :-1]]) if x.shape[1] else np.zeros(0, np.int64)
             sizes = np.diff(np.r_[starts, x.shape[1]])
-            is_large = sizes > small
+            is_large = (sizes > small) | (x[2, starts] < 0)
             if len(starts) and large is not None and x[0, 0] == large:
                 is_large[0] = True
             held, large = np.zeros((3, 0), np.int64), None
             if len(starts) and not last:
-                if is_large[-1]:  # one row stays, so that copies of it are seen
-                    large, held = int(x[0, -1]), x[:, -1:]
+                if is_large[-1]:
+                    large = int(x[0, -1])
                 else:
                     held, starts, sizes, is_large = x[:, starts[-1] :], starts[:-1], sizes[:-1], is_large[:-1]
             rows = np.repeat(is_large, sizes)
             if rows.any():
                 y = x[:, : len(rows)][:, rows]
-                yield pa.RecordBatch.from_arrays([pa.array(y[0]), pa.array(y[1]), none(y.shape[1]), pa.array(y[2])], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(y[0]), pa.array(y[1]), none(y.shape[1]), pa.array(np.where(y[2] < 0, ~y[2], y[2]))], names=names)
+            n = x[2] >> 32
+            left = n - (x[2] & 0xFFFFFFFF)
             for m in np.unique(sizes[~is_large]):
                 if m < 2:
                     continue
@@ -302,8 +328,6 @@ def _meetings(similarity: float, small: int):
                 own = starts[~is_large & (sizes == m)]
                 for k in range(0, len(own), step):
                     i, j = ((own[k : k + step, None] + z).ravel() for z in (one, two))
-                    n = x[2] >> 32
-                    left = n - (x[2] & 0xFFFFFFFF)
                     enough = (np.minimum(left[i], left[j]) >= similarity / (1 + similarity) * (n[i] + n[j]) - 1e-6) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-6)
                     pairs = np.unique(x[1][np.stack([i[enough], j[enough]])], axis=1)
                     yield pa.RecordBatch.from_arrays([none(pairs.shape[1]), pa.array(pairs[0]), pa.array(pairs[1]), none(pairs.shape[1])], names=names)
@@ -315,30 +339,28 @@ def _meetings(similarity: float, small: int):
     return run
 
 
-def prefix_meetings(texts: DataFrame, shingle: int, similarity: float, small: int = 64) -> DataFrame:
-    """Every pair of similar texts meets here: (null, a, b, null) in a small bucket, or (shingle, a, null, place) twice in a large one.
+def prefix_meetings(texts: DataFrame, shingle: int, similarity: float, often: DataFrame | None = None, small: int = 64) -> DataFrame:
+    """Every pair of similar texts (v, text) meets here: (null, a, b, null) in a small bucket, or (shingle, a, null, place) twice in a large one.
 
     Two sets of this Jaccard similarity have a shingle in common among the first 1 - similarity of each, in whatever
-    order all shingles are put. Here shingles frequent in a sixteenth of the texts come last, so that a shared passage
-    makes no bucket; the counts have an effect on speed only. a and b are `lo`, a hash of the text's key.
+    order all shingles are put. Here those of `often` (shingle, n), the 2^16 most frequent of all texts, come last, so
+    that a shared passage makes no bucket. Their counts have an effect on speed only; the rows of a shingle that they
+    put over `small` are dealt to many tasks.
     """
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            h = [np.unique(shingle_hashes(t or b"", shingle)) for t in b.column(0).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *h]).view(np.int64))], names=["shingle"])
-
-    counted = texts.filter("key < '1'").select("text").mapInArrow(whole, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
-    often = counted.filter("n >= 3").orderBy(F.desc("n"), "shingle").limit(1 << 18).toArrow()
-    common = often.column("shingle").to_numpy().view(np.uint64)
-    order = np.argsort(common)
-    postings = texts.select("text", "lo").mapInArrow(_postings(shingle, similarity, common[order], often.column("n").to_numpy()[order]), "shingle long, lo long, place long")
-    dealt = postings.repartition("shingle").sortWithinPartitions("shingle", "lo")
+    common, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    if often is not None:
+        most = often.orderBy(F.desc("n"), "shingle").limit(1 << 16).toArrow()
+        common, counts = most.column("shingle").to_numpy().view(np.uint64), most.column("n").to_numpy()
+        order = np.argsort(common)
+        common, counts = common[order], counts[order]
+    postings = texts.select("v", "text").mapInArrow(_postings(shingle, similarity, common, counts, small), "shingle long, v long, place long")
+    spread = F.when(F.col("place") < 0, F.pmod("v", F.lit(256))).otherwise(F.lit(0).cast("long"))
+    dealt = postings.repartition("shingle", spread).sortWithinPartitions("shingle")
     return dealt.mapInArrow(_meetings(similarity, small), "shingle long, a long, b long, place long")
 
 
-def similar_links(docs: DataFrame, text_col: str = "text", shingle: int = 5, similarity: float = 0.8, prints: int = 6) -> DataFrame:
-    """Links (a, b) between the MD5 keys of distinct texts whose sets of word shingles have at least this Jaccard similarity.
+def similar_links(texts: DataFrame, shingle: int = 5, similarity: float = 0.8, prints: int = 6, small: int = 64) -> DataFrame:
+    """Links (a, b) between numbers of different texts (v, text), each there once, whose sets of word shingles have at least this Jaccard similarity.
 
     All components, though not all pairs inside them. A plain SimHash differs in about ten bits at a similarity of 0.8.
     Here each text has several fingerprints whose shingles have heavy-tailed weights, the same in every text: mostly
@@ -346,50 +368,56 @@ def similar_links(docs: DataFrame, text_col: str = "text", shingle: int = 5, sim
     stars: a text and the first of its fingerprint, of two successive fingerprints, and of a linked fingerprint. These
     put large groups together at a cost in proportion to their size. What they leave apart, as texts that are not
     similar to their centre but to each other, meets by `prefix_meetings`. Each pair is verified on whole texts.
+
+    texts is read several times and joined by v, so it should be bucketed by it.
     """
-    texts = docs.select(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("key"), F.col(text_col).alias("text")).withColumn("lo", F.xxhash64("key"))
-    made = checkpointed(fingerprints(texts, "key", "text", shingle, prints).groupBy("id", "r").agg(F.first("fp").alias("fp")).withColumnRenamed("id", "key"))
-    first = made.groupBy("r", "fp").agg(F.min("key").alias("a"))
+    made = checkpointed(texts.select("v", "text").mapInArrow(_prints_and_counts(shingle, prints), "v long, r int, fp long"))
+    often = made.filter("r < 0").groupBy(F.col("fp").alias("shingle")).agg(F.sum("v").alias("n"))
+    made = made.filter("r >= 0")
+    first = made.groupBy("r", "fp").agg(F.min("v").alias("a"))
     near = links(first.select("r", "fp"))
-    of = lambda name: first.select("r", F.col("fp").alias(name), F.col("a").alias(f"key_{name}"))
-    linked = near.join(of("a"), ["r", "a"]).join(of("b"), ["r", "b"]).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
-    follow = made.select("key", F.pmod(F.col("r") - 1, F.lit(prints)).alias("r"), F.col("fp").alias("fp2"))
-    pairs = made.join(follow, ["key", "r"])
-    first2 = pairs.groupBy("r", "fp", "fp2").agg(F.min("key").alias("a"))
-    stars = made.join(first, ["r", "fp"]).select("a", F.col("key").alias("b"))
-    stars2 = pairs.join(first2, ["r", "fp", "fp2"]).select("a", F.col("key").alias("b"))
+    of = lambda name: first.select("r", F.col("fp").alias(name), F.col("a").alias(f"v_{name}"))
+    linked = near.join(of("a"), ["r", "a"]).join(of("b"), ["r", "b"]).select(F.col("v_a").alias("a"), F.col("v_b").alias("b"))
+    follow = made.select("v", F.pmod(F.col("r") - 1, F.lit(prints)).alias("r"), F.col("fp").alias("fp2"))
+    pairs = made.join(follow, ["v", "r"])
+    first2 = pairs.groupBy("r", "fp", "fp2").agg(F.min("v").alias("a"))
+    stars = made.join(first, ["r", "fp"]).select("a", F.col("v").alias("b"))
+    stars2 = pairs.join(first2, ["r", "fp", "fp2"]).select("a", F.col("v").alias("b"))
     ordered = lambda df: df.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    asked = checkpointed(ordered(stars.union(stars2).union(linked).select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b"))))
-    meetings = checkpointed(prefix_meetings(texts, shingle, similarity).distinct())
-    met, large = ordered(meetings.filter("shingle is null").select("a", "b")), meetings.filter("shingle is not null").select("shingle", F.col("a").alias("lo"), "place")
-    nodes = asked.select(F.col("a").alias("lo")).union(asked.select("b")).union(met.select("a")).union(met.select("b")).union(large.select("lo")).distinct()
-    sets = stored(texts.join(nodes, "lo", "left_semi").groupBy("lo", "key").agg(F.first("text").alias("text")).select("key", "text").mapInArrow(_shingle_sets(shingle), "key string, shingles binary"))
-    sets = sets.withColumn("lo", F.xxhash64("key"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        side = lambda name, x: sets.select(F.col("lo").alias(name), F.col("key").alias(f"key_{name}"), F.col("shingles").alias(x))
-        both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
-        return checkpointed(both.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "x", "y").mapInArrow(_verified(similarity), "a string, b string"))
+        """The pairs that are similar. First texts, which may repeat, go to their pairs by a join that can be split; then these go to the second ones."""
+        firsts = stored(texts.select(F.col("v").alias("a"), F.col("text").alias("x")).join(pairs.select("a").distinct(), "a", "left_semi"))
+        both = pairs.join(firsts, "a").join(texts.select(F.col("v").alias("b"), F.col("text").alias("y")), "b")
+        return checkpointed(both.select("a", "b", "x", "y").mapInArrow(_verified(shingle, similarity), "a long, b long"))
 
-    found = verified(asked)
-    roots = checkpointed(components(found.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b"))))
+    found = verified(checkpointed(ordered(stars.union(stars2).union(linked))))
+    roots = checkpointed(components(found))
     root = lambda df, name: df.join(roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}")), name, "left").withColumn(f"root_{name}", F.coalesce(f"root_{name}", name))
-    met = root(root(met, "a"), "b").filter("root_a <> root_b").select("a", "b")
-    large = checkpointed(root(large, "lo").select("shingle", "lo", F.col("root_lo").alias("root"), F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("at")))
+    meetings = checkpointed(prefix_meetings(texts, shingle, similarity, often, small).distinct())
+    met = root(root(ordered(meetings.filter("shingle is null").select("a", "b")), "a"), "b").filter("root_a <> root_b").select("a", "b")
+    large = root(meetings.filter("shingle is not null").select("shingle", "a", "place"), "a")
+    large = checkpointed(large.select("shingle", "a", F.col("root_a").alias("root"), F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("at")))
     mixed = large.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("shingle")
     large = large.join(mixed, "shingle")
-    other = large.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("lo", "root", "n", "at")])
+    other = large.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("a", "root", "n", "at")])
     enough = (F.least(F.expr("n - at"), F.expr("n2 - at2")) >= F.lit(similarity / (1 + similarity)) * F.expr("n + n2") - 1e-6) & (F.least("n", "n2") >= F.lit(similarity) * F.greatest("n", "n2") - 1e-6)
-    crossed = large.join(other, "shingle").filter(F.expr("lo < lo2 and root <> root2") & enough).select(F.col("lo").alias("a"), F.col("lo2").alias("b"))
-    return found.union(verified(met.union(crossed).distinct()))
+    crossed = large.join(other, "shingle").filter(F.expr("a < a2 and root <> root2") & enough).select("a", F.col("a2").alias("b"))
+    return found.union(verified(checkpointed(met.union(crossed).distinct())))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs without near copies: of each group of similar texts the row with the smallest id stays."""
+    """docs without near copies: of each group of similar texts the row with the smallest id stays, its columns as they are.
+
+    Equal texts are folded first: the row with the smallest id of each text is stored in buckets, and from then on texts
+    stay where they are. A text is known by a number, the 64-bit hash of its MD5 and its smallest id.
+    """
     key = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    roots = components(similar_links(docs, text_col, shingle, similarity))
-    rows = docs.groupBy(key.alias("_key"), F.col(id_col).alias("_id")).agg(F.count("*").alias("_n"))
-    rooted = rows.join(roots, rows["_key"] == roots["node"], "left").withColumn("_root", F.coalesce("root", "_key"))
-    stay = rooted.groupBy("_root").agg(F.min(F.struct("_id", "_key", "_n")).alias("s")).select("s.*")
-    left = docs.join(stay, (key == F.col("_key")) & F.col(id_col).eqNullSafe(F.col("_id")))
-    return left.filter("_n = 1").select(*docs.columns).union(left.filter("_n > 1").dropDuplicates(["_key", "_id"]).select(*docs.columns))
+    rows = docs.select(F.struct("*").alias("row"), key.alias("key"), F.col(id_col).alias("id"))
+    lowest = rows.groupBy("key").agg(F.min(F.struct("id")).alias("low")).select(F.xxhash64("key", "low.id").alias("v"))
+    own = rows.select("row", F.xxhash64("key", "id").alias("v")).join(lowest, "v", "left_semi").dropDuplicates(["v"])
+    once = bucketed(own, "v")
+    roots = components(similar_links(once.select("v", F.col("row")[text_col].cast("string").alias("text")), shingle, similarity))
+    rooted = once.select("v", F.col("row")[id_col].alias("id")).join(roots, once["v"] == roots["node"], "left").select("v", "id", F.coalesce("root", "v").alias("root"))
+    stay = rooted.groupBy("root").agg(F.min(F.struct("id", "v")).alias("s")).select("s.v")
+    return once.join(stay, "v", "left_semi").select("row.*")

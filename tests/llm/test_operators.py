@@ -178,8 +178,11 @@ def test_one_of_each_keeps_distinct_texts(spark):
     base = [" ".join(r.choice("abcdefghij") * r.randint(1, 5) for _ in range(200)) for _ in range(10)]
     rows = [(k, t) for k, t in enumerate(base)] + [(10 + k, t) for k, t in enumerate(base)] + [(0, base[0])]
     near = [(20 + k, " ".join([*t.split()[:100], "edit", *t.split()[101:]])) for k, t in enumerate(base)]
-    df = spark.createDataFrame([*rows, *near, (40, None), (41, "")], "doc_id long, text string")
-    assert sorted(x.doc_id for x in simhash_golay.one_of_each(df).collect()) == [*range(10), 40]
+    df = spark.createDataFrame([(*x, "mine", -1) for x in [*rows, *near, (40, None), (41, ""), (None, base[3]), (None, base[3])]], "doc_id long, text string, key string, v int")
+    got = simhash_golay.one_of_each(df)
+    assert got.columns == df.columns and {(x.key, x.v) for x in got.collect()} == {("mine", -1)}
+    assert sorted(-1 if x.doc_id is None else x.doc_id for x in got.collect()) == [-1, 0, 1, 2, *range(4, 10), 40]
+    assert simhash_golay.one_of_each(df.limit(0)).count() == 0
 
 
 def test_one_of_each_finds_pairs_that_share_a_passage_with_thousands(spark):
@@ -194,19 +197,21 @@ def test_one_of_each_finds_pairs_that_share_a_passage_with_thousands(spark):
     assert sorted(x.doc_id for x in simhash_golay.one_of_each(df).collect()) == [2 * k for k in range(1500)]
 
 
-@pytest.mark.parametrize("small", [2, 64])
-def test_prefixes_miss_no_pair(spark, small):
+@pytest.mark.parametrize("small,often", [(2, False), (2, True), (64, True)])
+def test_prefixes_miss_no_pair(spark, small, often):
     r = random.Random(8)
     base = [[r.choice("abcdefghij") * r.randint(1, 5) for _ in range(r.randint(0, 60))] for _ in range(12)]
     texts = [" ".join(w if r.random() > 0.03 else "x" for w in b) for b in base for _ in range(8)]
-    rows = [(f"{k:x}", t, k) for k, t in enumerate(texts)]
+    sets = [set(simhash_golay.shingle_hashes(t.encode(), 5).tolist()) for t in texts]
+    signed = lambda h: h - 2**64 if h >> 63 else h
+    counts = Counter(signed(h) for s in sets for h in s)
+    often = spark.createDataFrame([x for x in counts.items() if x[1] > 2], "shingle long, n long") if often else None
     met, large = set(), {}
-    for x in simhash_golay.prefix_meetings(spark.createDataFrame(rows, "key string, text string, lo long").repartition(3), 5, 0.8, small).collect():
+    for x in simhash_golay.prefix_meetings(spark.createDataFrame(list(enumerate(texts)), "v long, text string").repartition(3), 5, 0.8, often, small).collect():
         if x.shingle is None:
             met.add((min(x.a, x.b), max(x.a, x.b)))
         else:
             large.setdefault(x.shingle, set()).add(x.a)
-    sets = [set(simhash_golay.shingle_hashes(t.encode(), 5).tolist()) for t in texts]
     alike = {(a, b) for b in range(len(texts)) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
     assert alike and all(p in met or any({*p} <= x for x in large.values()) for p in alike)
 
