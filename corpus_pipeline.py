@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linemart.llm import mixing, quality_rules, secret_scan, sentencepiece_sa, simhash_golay
-from linemart.llm.shared import stored, table
+from linemart.llm.shared import removed_after, stored, table, tables
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -52,7 +52,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. Tables that earlier stages have stored are removed once the next one is written."""
+    docs, mark = table(spark, sf_dir, "documents"), len(tables())
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
+        removed_after(spark, mark, but=docs)
     return STAGES[-1][1](spark, docs, sf_dir)
