@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -346,19 +347,37 @@ def test_html_malformed_pages_end():
 
 
 def test_warc_round_trip(spark):
-    rows = [(3, "http://a/", "x" * 5000), (1, "http://b/\r\nX: y", "é" * 10), (2, None, "é" * 10), (5, "u", None), (4, "u", ""), (7, "u", "é" * 10), (3, "http://a/", "x" * 5000)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rows = [(3, "http://a/", "x" * 5000), (1, "http://b/\r\nX: y", "é" * 10), (2, None, "é" * 10), (5, "u", None), (4, "u", ""), (7, "u", "é" * 10), (3, "http://a/", "x" * 5000), (None, "u", "é" * 10), (8, "u", "é\n" * 3_000_000)]
+    clash = "archive int, record int, copy int, chunk int, data int, running int, digest int, refers_to int, size int, sound int"
+    pages = spark.createDataFrame([(*x, *[0] * 10) for x in rows], "page_id long, url string, html string, " + clash)
     got = warc.round_trip(pages, chunk_bytes=700).collect()
     assert len(got) == len(rows) and all(r.sound for r in got)
     by = {r.page_id: r for r in got}
     assert (by[1].record_type, by[2].refers_to, by[7].refers_to, by[4].record_type, by[5].refers_to, by[3].record_type) == ("response", 1, 1, "response", 4, "response")
+    assert by[None].record_type == "response" and [r.refers_to for r in got if r.page_id == 3] == [None, None]
     for p, _, h in rows:
         data = (h or "").encode()
         assert (by[p].payload_bytes, by[p].payload_digest) == (len(data), base64.b32encode(hashlib.sha1(data).digest()).decode())
-    assert {r.record_type for r in warc.round_trip(pages, min_bytes=10000).collect()} == {"response"}
+    assert {r.record_type for r in warc.round_trip(pages, min_bytes=10_000_000).collect()} == {"response"}
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_archives_are_gzip_members_and_damage_is_found(spark):
+    pages = spark.createDataFrame([(1, "http://a/", "x" * 50 + "y" * 3000), (2, "u", "z")], "page_id long, url string, html string")
+    chunks = warc.write_records(pages, chunk_bytes=700).collect()
+    ones = b"".join(c.data for c in sorted(chunks, key=lambda c: c.chunk) if c.record.startswith("1:"))
+    z = zlib.decompressobj(31)
+    whole = z.decompress(ones)
+    assert z.eof and not z.unused_data and whole.startswith(b"WARC/1.1\r\n") and whole.endswith(b"y" * 3000 + b"\r\n\r\n")
+    bad = bytearray(chunks[0].data)
+    bad[len(bad) // 2] ^= 1
+    for broken in ([c for c in chunks if (c.record[0], c.chunk) != ("1", 2)], [c for c in chunks if (c.record[0], c.chunk) != ("1", 4)], [chunks[0].__class__(**(chunks[0].asDict() | {"data": bad})), *chunks[1:]]):
+        df = spark.createDataFrame(broken, warc.CHUNKS)
+        assert not all(r.sound for r in warc.read_records(df, strict=False).collect())
+        with pytest.raises(Exception, match="is damaged"):
+            warc.read_records(df).collect()
+
+
 def test_topk_equals_brute_force(spark):
     r = np.random.default_rng(2)
     v = r.normal(0, 0.1, (300, 8)).round(2)
