@@ -78,22 +78,24 @@ o{k} AS (SELECT i FROM (SELECT i, sum(pow(p, a)) AS z, max(pow(p, a) / tokens) A
 b{k + 1} AS (SELECT low + (n - 1) * ((high - low) / {mixing.POINTS}) AS low, low + n * ((high - low) / {mixing.POINTS}) AS high FROM b{k}, (SELECT coalesce(min(i), {mixing.POINTS}) AS n FROM o{k}))""")
     return rf"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens,
-                  md5('7:' || doc_id) AS key FROM documents),
+                  md5('7:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
 src AS (SELECT source, sum(n_tokens)::BIGINT AS tokens FROM d GROUP BY source),
 tot AS (SELECT sum(tokens)::BIGINT AS total FROM src),
 shares AS (SELECT tokens / (SELECT total::DOUBLE FROM tot) AS p, tokens FROM src WHERE tokens > 0),
 {', '.join(rounds)},
 a AS (SELECT CASE WHEN EXISTS (SELECT 1 FROM o0 WHERE i = 0) THEN 0.0 ELSE (SELECT high FROM b{mixing.ROUNDS}) END AS a),
-u AS (SELECT source, tokens, pow(tokens / (SELECT total::DOUBLE FROM tot), (SELECT a FROM a)) AS u FROM src WHERE tokens > 0),
+u AS (SELECT source, tokens, CASE WHEN tokens > 0 THEN pow(tokens / (SELECT total::DOUBLE FROM tot), (SELECT a FROM a)) ELSE 0 END AS u FROM src),
 q AS (SELECT source, tokens, floor(u / (SELECT sum(u) FROM u) * (SELECT total FROM tot))::BIGINT AS quota FROM u),
-p AS (SELECT d.*, tokens, quota, quota // tokens AS passes,
-             coalesce(sum(n_tokens) OVER (PARTITION BY d.source ORDER BY pm, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
-      FROM (SELECT *, ('0x' || substr(key, 1, 12))::BIGINT % (SELECT greatest(1, ceil(count(*) / 4096.0))::BIGINT FROM d) AS pm FROM d) d JOIN q USING (source)),
+p AS (SELECT d.*, tokens, quota, CASE WHEN tokens > 0 THEN quota // tokens ELSE 1 END AS passes,
+             coalesce(sum(n_tokens) OVER (PARTITION BY d.source ORDER BY spread % slices, key, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
+      FROM (SELECT *, ('0x' || substr(key, 1, 12))::BIGINT AS spread, (SELECT greatest(1, ceil(count(*) / 256.0))::BIGINT FROM d) AS slices FROM d) d
+      JOIN q ON d.source IS NOT DISTINCT FROM q.source),
 c AS (SELECT *, unnest(range(0, passes + CASE WHEN place < quota - passes * tokens THEN 1 ELSE 0 END)) AS epoch FROM p),
 n AS (SELECT greatest(1, ceil(total / 1048576.0))::BIGINT AS blocks FROM tot),
-k AS (SELECT *, least(floor((epoch * tokens + place) * (SELECT blocks FROM n) / greatest(quota, 1)::DOUBLE)::BIGINT, (SELECT blocks FROM n) - 1) AS block FROM c)
+k AS (SELECT *, CASE WHEN tokens = 0 THEN spread % (SELECT blocks FROM n)
+                     ELSE least(floor((epoch * tokens + place) * (SELECT blocks FROM n) / greatest(quota, 1)::DOUBLE)::BIGINT, (SELECT blocks FROM n) - 1) END AS block FROM c)
 SELECT doc_id, source, n_tokens, epoch::BIGINT AS epoch, block,
-       row_number() OVER (PARTITION BY block ORDER BY md5('8:' || doc_id || ':' || epoch), key)::BIGINT AS slot
+       row_number() OVER (PARTITION BY block ORDER BY md5('8:' || key || ':' || epoch), key)::BIGINT AS slot
 FROM k
 """
 

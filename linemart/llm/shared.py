@@ -77,6 +77,17 @@ def tables() -> list[str]:
     return list(_tables)
 
 
+def renamed(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with its columns named by position, so that no name of an operator clashes with one of theirs, and the new name of each."""
+    names = {c: f"_in{k}" for k, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def restored(names: dict[str, str]) -> list[Column]:
+    """The columns that `renamed` has renamed, with their own names."""
+    return [F.col(x).alias(c) for c, x in names.items()]
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array of strings; none for null or blank texts."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
