@@ -3,13 +3,15 @@
 Vectors are dealt into blocks; each pair of a candidate block and a query block is one group. Inside, a list of the
 block's vectors is sorted for each dimension. For a query the lists are read in step, from the top where the query's
 component is positive and from the bottom where it is negative; each vector met is scored in full; reading stops
-when the sum of the components at the reading depth can neither beat nor equal the kth score. The block results of
-a query are then merged. No list or block holds more than a bounded number of rows.
+when the sum of the components at the reading depth can neither beat nor equal the kth score. One block goes first and
+gives each query a lower bound of its kth score, with which all other blocks begin. The block results of a query are
+then merged. No list or block holds more than a bounded number of rows.
 
 Components are scaled and floored to integers, so scores are exact. Vectors that are null, empty or hold a null or
 a component that is not finite take no part. A query is compared with every row of another id; rows that repeat a
-candidate's id and vector count each, rows that repeat a query count once. Shorter vectors count as padded with zeros.
-Equal scores rank the smaller id first. With fewer candidates than k all are returned. Null ids take no part.
+candidate's id and vector count each, rows that repeat a query count once; of different vectors of one query id the
+smallest is asked for. Shorter vectors count as padded with zeros. Equal scores rank the smaller id first. With fewer
+candidates than k all are returned. Null ids take no part. A score that no long can hold is an error.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linemart.llm.shared import checkpointed
+
 EXACT = 2.0**53
 
 
@@ -37,13 +41,16 @@ def _matrix(table: pa.Table, width: int) -> np.ndarray:
     return out
 
 
-def threshold_topk(x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, step: int = 32):
-    """(query id, id, score) of the best k rows of x for each query, equal scores by id; x and queries hold integers."""
+def threshold_topk(x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, step: int = 32, least: np.ndarray | None = None):
+    """(query id, id, score) of the best k rows of x for each query, equal scores by id; x and queries hold integers.
+
+    `least` has a score for each query that k rows elsewhere reach: rows below it are of no use, and may be left out.
+    """
     n, width = x.shape
     order = np.ascontiguousarray(np.argsort(x, axis=0, kind="stable").T)  # ascending, a row for each dimension
     value = np.take_along_axis(x.T, order, axis=1)
     whole = np.abs(x).sum(1).max(initial=0) * np.abs(queries).max(initial=0) >= EXACT
-    for q, qid in zip(queries, query_ids.tolist(), strict=True):
+    for q, qid, low in zip(queries, query_ids.tolist(), [-np.inf] * len(queries) if least is None else least.tolist(), strict=True):
         down = np.nonzero(q > 0)[0]
         up = np.nonzero(q < 0)[0]
         seen = np.zeros(n, bool)
@@ -70,9 +77,10 @@ def threshold_topk(x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_id
                 kth = np.partition(every, have - k)[have - k] if not whole else sorted(every)[have - k]
             bound = q[down] @ value[down, n - to] + q[up] @ value[up, to - 1]
             depth, grow = to, 2 * grow
-            if have >= k and bound < kth or seen.all():
+            if bound < low or have >= k and bound < kth or seen.all():
                 break
         at, s = np.concatenate(met), np.concatenate(scores)
+        at, s = at[s >= low], s[s >= low]
         best = sorted(zip((-s).tolist(), ids[at].tolist(), strict=True))[:k] if len(s) <= 4 * k or whole else None
         if best is None:
             keep = s >= kth
@@ -86,10 +94,12 @@ def _search(k: int, width: int):
         found = []
         if rows.num_rows and asked.num_rows:
             at = lambda t: t.column("id").to_numpy()
-            found = list(threshold_topk(_matrix(rows, width), at(rows), _matrix(asked, width), at(asked), k))
+            least = asked.column("least").to_numpy()
+            found = list(threshold_topk(_matrix(rows, width), at(rows), _matrix(asked, width), at(asked), k, least=np.where(np.isnan(least), -np.inf, least)))
         q, i, s = zip(*found, strict=True) if found else ((), (), ())
-        low, high = -(2**63), 2**63 - 1
-        return pa.table({"query_id": pa.array(q, pa.int64()), "id": pa.array(i, pa.int64()), "score": pa.array([min(max(v, low), high) for v in s], pa.int64())})
+        if s and not -(2**63) <= min(s) <= max(s) < 2**63:
+            raise OverflowError("a score is out of the range of a long")
+        return pa.table({"query_id": pa.array(q, pa.int64()), "id": pa.array(i, pa.int64()), "score": pa.array(s, pa.int64())})
 
     return run
 
@@ -99,16 +109,30 @@ def top_k(
     block_rows: int = 16384, query_rows: int = 4096,
 ) -> DataFrame:
     """(query_id, rank, id, score): for each row of queries the k rows of vectors with the largest inner product."""
+    whole_number = lambda v: F.when(F.abs(v) < EXACT, F.floor(v).cast("double")).otherwise(v)  # noqa: E731  from 2^53 on all doubles are
     whole = lambda df: df.filter(usable(F.col(vec_col)) & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda x: F.floor(x.cast("double") * scale).cast("double")).alias("x")
+        F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda x: whole_number(x.cast("double") * scale)).alias("x")
     )
-    rows, asked = whole(vectors), whole(queries).dropDuplicates(["id"])
+    rows, asked = whole(vectors), whole(queries).groupBy("id").agg(F.min("x").alias("x"))
     n, width = rows.agg(F.count("*"), F.max(F.size("x"))).first()
     m, wide = asked.agg(F.count("*"), F.max(F.size("x"))).first()
     blocks, query_blocks = max(1, -(-n // block_rows)), max(1, -(-m // query_rows))
-    all_of = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    rows = rows.withColumn("c", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("q", all_of(query_blocks))
-    asked = asked.withColumn("q", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int")).withColumn("c", all_of(blocks))
-    found = rows.groupBy("c", "q").cogroup(asked.groupBy("c", "q")).applyInArrow(_search(k, max(width or 1, wide or 1)), "query_id long, id long, score long")
+    search = _search(k, max(width or 1, wide or 1))
+    rows = rows.withColumn("c", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    asked = asked.withColumn("q", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+
+    def found_in(part: DataFrame, first: int, last: int, queries: DataFrame) -> DataFrame:
+        """The best k of each query in each of these blocks."""
+        both = part.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+        each = queries.withColumn("c", F.explode(F.sequence(F.lit(first), F.lit(last))))
+        return both.groupBy("c", "q").cogroup(each.groupBy("c", "q")).applyInArrow(search, "query_id long, id long, score long")
+
+    found = found_in(rows.filter("c = 0"), 0, 0, asked.withColumn("least", F.lit(float("-inf"))))
+    if blocks > 1:
+        found = checkpointed(found)
+        known = found.groupBy(F.col("query_id").alias("id")).agg(F.min("score").cast("double").alias("least"), F.count("*").alias("n")).filter(F.col("n") >= k).drop("n")
+        # a double may round a long up, so the bound is taken a little lower
+        bounded = asked.join(known, "id", "left").withColumn("least", F.coalesce(F.col("least") - F.abs("least") * 2.0**-50, F.lit(float("-inf"))))
+        found = found.union(found_in(rows.filter("c > 0"), 1, blocks - 1, bounded))
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")
