@@ -39,10 +39,11 @@ NAMED_ID = re.compile(
     re.ASCII | re.IGNORECASE,
 )
 WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
-ENDPOINT = re.compile(
-    r"""\b[a-z][a-z0-9+.-]*://[A-Za-z0-9.-]+(?::\d+)?|\b(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{3,}(?::\d+)?""",
-    re.ASCII,
-)
+#: What may follow `://`, and an endpoint by its name; a scheme is looked for backwards from each `://`.
+AUTHORITY = re.compile(r"[A-Za-z0-9.-]+(?::\d+)?", re.ASCII)
+NAMED_ENDPOINT = re.compile(r"""\b(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{3,}(?::\d+)?""", re.ASCII)
+SCHEME = frozenset("abcdefghijklmnopqrstuvwxyz0123456789+.-")
+WORD = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_")
 HINTS = ["://", "user", "login", "account", "client", "access", "host", "endpoint", "server"]
 
 
@@ -51,6 +52,29 @@ def _mixed(s: str) -> bool:
     return any(c.isdigit() for c in s) and any(c.islower() for c in s) and any(c.isupper() for c in s)
 
 
+def endpoints(text: str) -> list[tuple[int, int]]:
+    """Urls up to their port, and hosts by name: the leftmost first, none that overlaps the one before. Linear in the text."""
+    found = [m.span() for m in NAMED_ENDPOINT.finditer(text)]
+    at = text.find("://")
+    floor = 0
+    while at >= 0:
+        if end := AUTHORITY.match(text, at + 3):
+            start, k = None, at
+            while k > floor and text[k - 1] in SCHEME:
+                k -= 1
+                if "a" <= text[k] <= "z" and (k == 0 or text[k - 1] not in WORD):
+                    start = k
+            if start is not None:
+                found.append((start, end.end()))
+        floor = at + 3
+        at = text.find("://", floor)
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(found):
+        if not out or s >= out[-1][1]:
+            out.append((s, e))
+    return out
+
+
 def find_parts(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every part of one text, in code points; weak ones not yet linked."""
     found = []
@@ -64,7 +88,7 @@ def find_parts(text: str) -> list[tuple[str, int, int]]:
     more = [("weak_id", m.start(), m.end()) for m in WEAK_ID.finditer(text)]
     if any(k in lower for k in HINTS):
         more += [("weak_id", m.start(), m.end()) for m in NAMED_ID.finditer(text)]
-        more += [("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text)]
+        more += [("endpoint", *x) for x in endpoints(text)]
     if more or any(k == "access" for k, *_ in found):
         more += [("weak_secret", m.start(), m.end()) for m in WEAK_SECRET.finditer(text) if _mixed(m[0])]
     return found + [x for x in more if not _touches(strong, x[1], x[2])]
