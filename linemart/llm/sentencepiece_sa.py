@@ -7,7 +7,8 @@ of the longest piece, and each piece is binary-searched for the range of suffixe
 Stretches are cut where no piece can cross: before marks of spaces and around line ends. For a BPE model an edge
 relaxes a position if its piece may follow the piece that ended there: merging the two pieces' text alone gives these
 two back. Pieces that are all so compatible are the model's own result, and there is only one such way to each
-position, so no scores are summed. Characters in no piece become byte pieces.
+position, so no scores are summed. Characters in no piece become byte pieces. A long stretch, as of a script without
+spaces, is indexed and relaxed window by window; what ends in the next window is carried over, so nothing is cut.
 
 Null and empty texts have no ids and decode to an empty text. Rows are independent: repeated rows, ties and extra
 columns have no effect, and an empty table gives an empty result. Texts of any length are encoded whole.
@@ -15,7 +16,9 @@ columns have no effect, and an empty table gives an empty result. Texts of any l
 
 from __future__ import annotations
 
+import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +32,8 @@ BPE = 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 #: Characters of distinct text indexed at once, rows of a batch encoded at once, and stretches remembered by a worker.
 INDEXED, ROWS, REMEMBERED = 200_000, 512, 200_000
+#: Stretches of more characters are relaxed one by one, in windows of so many positions, and not remembered.
+LONG, WINDOW = 500, 50_000
 
 
 @dataclass(frozen=True)
@@ -37,6 +42,7 @@ class Model:
     scores: list[float]
     types: list[int]
     dummy_prefix: bool
+    digest: str = ""
 
 
 def load_model(path: str) -> Model:
@@ -45,13 +51,14 @@ def load_model(path: str) -> Model:
 
     proto = sentencepiece_model_pb2.ModelProto()
     with open(path, "rb") as f:
-        proto.ParseFromString(f.read())
+        whole = f.read()
+    proto.ParseFromString(whole)
     spec = proto.normalizer_spec
     if spec.precompiled_charsmap or spec.remove_extra_whitespaces or not spec.escape_whitespaces:
         raise ValueError("only models without text normalisation are supported")
     if proto.trainer_spec.model_type != BPE:
         raise ValueError("only BPE models are supported")
-    return Model([p.piece for p in proto.pieces], [p.score for p in proto.pieces], [p.type for p in proto.pieces], spec.add_dummy_prefix)
+    return Model([p.piece for p in proto.pieces], [p.score for p in proto.pieces], [p.type for p in proto.pieces], spec.add_dummy_prefix, hashlib.sha256(whole).hexdigest())
 
 
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
@@ -196,6 +203,41 @@ class Encoder:
             for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True))
         ]
 
+    def relaxed_long(self, text: str) -> bytes:
+        """One long stretch, position by position from window to window."""
+        count, wide, n = len(self.sorted), len(self.sorted) + 0x110000, len(text)
+        last = array("i", [-2]) * (n + 1)  # the piece that ends at each place
+        last[0] = -1
+        fits, sizes = self.fits, self.sizes.tolist()
+        for base in range(0, n, WINDOW):
+            starts, pieces = self.edges(text[base : base + WINDOW + self.width])
+            inside = int(np.searchsorted(starts, min(WINDOW, n - base)))
+            alone = np.ones(min(WINDOW, n - base), bool)
+            starts, pieces = starts[:inside], pieces[:inside]
+            alone[starts[self.sizes[pieces] == 1]] = False
+            lone = np.nonzero(alone)[0]
+            codes = np.array([count + ord(text[base + k]) for k in lone.tolist()], np.int64)
+            by = np.argsort(np.concatenate([starts, lone]), kind="stable")
+            for s, p in zip((np.concatenate([starts, lone])[by] + base).tolist(), np.concatenate([pieces, codes])[by].tolist(), strict=True):
+                before = last[s]
+                if before == -2:
+                    continue
+                pair = (before + 1) * wide + p
+                ok = fits.get(pair)
+                if ok is None:
+                    ok = self.may_follow(pair, wide)
+                if ok:
+                    last[s + (sizes[p] if p < count else 1)] = p
+            if len(fits) > 4 * REMEMBERED:
+                fits.clear()
+        out, at = [], n
+        while at:
+            p = last[at]
+            out.append(p)
+            at -= sizes[p] if p < count else 1
+        ids = self.ids.tolist()
+        return np.array([t for p in reversed(out) for t in ([ids[p]] if p < count else self.ids_of(p))], "<i4").tobytes()
+
     def name(self, piece: int) -> str:
         return "" if piece < 0 else self.names[piece] if piece < len(self.names) else chr(piece - len(self.names))
 
@@ -210,11 +252,15 @@ class Encoder:
         if len(self.known) > REMEMBERED:  # what is still used moves over from the generation before
             self.known, self.before = {}, self.known
         new = set().union(*cut).difference(self.known)
+        long = {x for x in new if len(x) > LONG}
         old = new.intersection(self.before)
         self.known.update((x, self.before[x]) for x in old)
-        self.learn(sorted(new - old))
+        self.learn(sorted(new - old - long))
         get = self.known.__getitem__
-        return [b"".join(map(get, x)) for x in cut]
+        if not long:
+            return [b"".join(map(get, x)) for x in cut]
+        once = {x: self.relaxed_long(x) for x in long}
+        return [b"".join(once[p] if p in once else get(p) for p in x) for x in cut]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids without the space that encoding put before it; bytes that are no UTF-8 become U+FFFD."""
@@ -227,12 +273,12 @@ class Encoder:
         return [kinds.get(t, lambda p: p.replace(MARK, " ").encode())(p) for p, t in zip(self.model.pieces, self.model.types, strict=True)]
 
 
-_encoders: dict[tuple, Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
 def _encoder(shared) -> Encoder:
     """One encoder for each worker and model."""
-    key = (shared.value.pieces[-1], len(shared.value.pieces), shared.value.dummy_prefix)
+    key = shared.value.digest
     if key not in _encoders:
         _encoders.clear()
         _encoders[key] = Encoder(shared.value)
