@@ -4,6 +4,9 @@ import base64
 import hashlib
 import json
 import random
+import re
+import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -62,6 +65,21 @@ def test_quality_measures(docs, none):
     assert quality_rules.keep(docs).columns == docs.columns
 
 
+def test_keep_gives_back_all_columns_of_what_quality_keeps(docs):
+    own = ["n_words", "kept", "_words", "_text", "_at", "_in0", "base_failed", "_lines"]
+    clash = docs.select("*", *[F.lit(-7).alias(c) for c in own])
+    got = quality_rules.keep(clash)
+    assert got.columns == clash.columns
+    rows = got.collect()
+    want = sorted(r.doc_id for r in quality_rules.quality(docs).collect() if r.kept)
+    assert want and sorted(r.doc_id for r in rows) == want and all(r[c] == -7 for r in rows for c in own)
+    assert quality_rules.keep(docs.limit(0)).count() == 0
+    names = [r.name for r in quality_rules.order_rules(docs.select("text"), [*quality_rules.base_rules(), *quality_rules.text_rules()])]
+    assert names[0] == "few_words" and len(names) == 7
+    long = docs.sparkSession.createDataFrame([(1, "word other " * 200000), (2, " ".join(f"w{k}" for k in range(200000)))], "doc_id long, text string")
+    assert [r.doc_id for r in quality_rules.keep(long).collect()] == [2]
+
+
 def test_rule_order_has_no_effect(docs):
     rules = quality_rules.text_rules()
     by = lambda rs: sorted(r.doc_id for r in docs.filter(quality_rules.verdict(rs).isNull()).collect())
@@ -87,6 +105,43 @@ def test_secrets(spark, none):
     assert clean[2] == "token: short" and clean[3] is None and "alice" not in clean[5]
 
 
+def base_spans(text):
+    """The contract's base kinds, by search from each place on."""
+    out = []
+    for kind, pattern, group, least in (
+        ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+        ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]+", 0, 32),
+    ):
+        at = 0
+        while m := re.compile(pattern).search(text, at):
+            at = m.end()
+            if len(m[group]) >= least:
+                out.append((m.start(), ["assign", "access", "hex"].index(kind), kind, m.end()))
+    return sorted(out)
+
+
+def test_secret_base_spans_match_the_contract(spark):
+    r = random.Random(12)
+    bits = ["password", "PassWd", "ſecret", "secret", "TOKEN", "api_key", "ApiKey", "apiKey", "'", '"', " ", "  ", ":", "=", "\t", "\n", "AKIA", "ABCD1234", "0123456789abcdef", "deadbeef", "é", "🙂", "Abc+/=", "x.y-z_", "://", "host"]
+    rows = [(k, "".join(r.choice(bits) for _ in range(r.randint(0, 40)))) for k in range(400)] + [(400, None), (400, "")]
+    got = {(x.doc_id, tuple((s.start, s.place, s.kind, s.end) for s in x.found if s.kind not in secret_scan.WEAK)) for x in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    order = {k: n for n, k in enumerate(["assign", "access", "hex"])}
+    strip = lambda spans: tuple((s, order[k], k, e) for s, _, k, e in spans)
+    assert {(d, strip(f)) for d, f in got} == {(d, tuple(base_spans(t or ""))) for d, t in rows} and sum(len(f) for _, f in got) > 100
+
+
+def test_secret_scan_is_linear_in_long_texts():
+    for text in ("a." * 500_000, "a.b://" * 200_000, "password" * 100_000, "host" + " " * 1_000_000, "0a" * 15 + "g" * 1_000_000, "A" * 1_000_000, "AKIA" * 200_000):
+        began = time.perf_counter()
+        secret_scan.find_parts(text + " user: abc://x")
+        assert time.perf_counter() - began < 8
+    pattern = re.compile(r"\b[a-z][a-z0-9+.-]*://[A-Za-z0-9.-]+(?::\d+)?", re.ASCII)
+    r = random.Random(2)
+    for _ in range(3000):
+        text = "".join(r.choice(["a", "B", "7", "+", ".", "://", " ", "_", "é", ":80"]) for _ in range(14))
+        assert secret_scan.endpoints(text) == [m.span() for m in pattern.finditer(text)], text
+
+
 def test_secret_links_match_brute_force(spark):
     r = random.Random(3)
     parts = [(d, r.choice(secret_scan.KINDS), s, s + r.randint(1, 400)) for d in range(20) for s in r.sample(range(4000), 12)]
@@ -230,6 +285,32 @@ def test_mixture(docs, none, spark):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixture_keeps_sources_without_tokens_and_clashing_columns(spark):
+    rows = [(k, f"w{k} " * (1 + k % 7), "a" if k % 3 else "b") for k in range(300)] + [(300 + k, None if k % 2 else " ", None) for k in range(40)]
+    clash = ["epoch", "source_", "slice", "key", "group", "tokens", "all", "at", "s", "l", "times", "offset"]
+    df = spark.createDataFrame([(*x, *["mine"] * len(clash)) for x in rows], "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in clash))
+    got = mixing.mix(df, block_tokens=100, slice_rows=8).collect()
+    assert sorted(r.doc_id for r in got if r.source is None) == list(range(300, 340)) and len({r.block for r in got if r.source is None}) > 3
+    assert got[0].__fields__ == [*[c for c in df.columns if c != "epoch"], *mixing.ADDED] and {r.key for r in got} == {"mine"}
+    tokens = {d: len((t or "").split()) for d, t, _ in rows}
+    for source in ("a", "b"):  # place by place: whole passes, and one that ends within
+        times = Counter(r.doc_id for r in got if r.source == source)
+        assert sum(n * tokens[d] for d, n in times.items()) == sum(r.n_tokens for r in got if r.source == source) and max(times.values()) - min(times[d] for d, _, s in rows if s == source) <= 1
+    blocks = Counter(r.block for r in got)
+    assert {b: sorted(r.slot for r in got if r.block == b) for b in blocks} == {b: list(range(1, n + 1)) for b, n in blocks.items()}
+    assert len(mixing.mix(df.filter("source is null")).collect()) == 40
+    same = spark.createDataFrame([(1, f"w{k % 5} x", "a") for k in range(200)], "doc_id long, text string, source string")
+    assert mixing.mix(same, slice_rows=8).count() == 200
+
+
+def test_exponent_that_meets_no_limit_is_an_error(spark):
+    s = spark.createDataFrame([("a", 700), ("b", 300)], "source string, tokens long")
+    with pytest.raises(ValueError, match="no exponent"):
+        mixing.exponent(s, 4000, 1.25, None)
+    with pytest.raises(ValueError, match="no exponent"):
+        mixing.exponent(s, 1000, None, 0.1)
+
+
 def test_exponent_meets_its_limits(spark):
     s = spark.createDataFrame([("a", 9000), ("b", 900), ("c", 100)], "source string, tokens long")
     a = mixing.exponent(s, 10000, 3.0, None)
@@ -258,6 +339,27 @@ def test_sentencepiece_equals_the_library(spark, docs, none):
     assert sentencepiece_sa.encode(none, path).count() == 0
 
 
+def test_sentencepiece_takes_long_texts_without_spaces(monkeypatch):
+    import public_tokenizers
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    own, enc = sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_sa.Encoder(sentencepiece_sa.load_model(path))
+    r = random.Random(3)
+    pieces = [p for p in enc.names if sentencepiece_sa.MARK not in p]
+    odd = ["日本語の文章です", "漢", "🙂", "the", "ing", "0", "==", "\x00", "é", "ааа"]
+    text = "".join(r.choice(pieces) if r.random() < 0.5 else r.choice(odd) for _ in range(40_000))
+    monkeypatch.setattr(sentencepiece_sa, "WINDOW", 997)
+    assert np.frombuffer(enc.encode([text])[0], "<i4").tolist() == own.encode(text)
+    monkeypatch.undo()
+    whole = "".join(r.choice(odd) for _ in range(2_000_000))[:5_000_000]
+    tracemalloc.start()
+    made = enc.encode([whole])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert enc.decode(np.frombuffer(made, "<i4").tolist()) == whole and peak < 1.2e9
+
+
 def test_suffix_array_orders_suffixes():
     text = "banana bandana" * 3
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
@@ -284,6 +386,27 @@ def test_url_rules_and_trees(spark):
     assert url_filter.judge(df.limit(0), rules, url_filter.fit(labelled.limit(0))).count() == 0
 
 
+def test_url_columns_of_any_name_pass(spark):
+    rows = [(k, f"http://{'bad' if k % 2 else 'good'}{k % 20}.example.org/{k}", k % 2) for k in range(200)]
+    model = url_filter.fit(spark.createDataFrame(rows, "page_id long, url string, label int"), max_rows=60)
+    clash = [*url_filter.FEATURES, "_host", "_path", "_features", "_prediction", "_blocks", "_rule", "_s1", "_in0", "url2"]
+    df = spark.createDataFrame([(*x, *[99.0] * len(clash)) for x in rows], "page_id long, url string, label int, " + ", ".join(f"{c} double" for c in clash))
+    got = url_filter.judge(df, [], model)
+    assert got.columns == [*df.columns, "host", "path", "rule", "verdict"]
+    out = got.collect()
+    assert all(r[c] == 99.0 for r in out for c in clash) and sum((r.verdict == "block") == bool(r.label) for r in out) > 190
+
+
+def test_url_rates_of_the_sample_leave_their_fold_out(spark):
+    """On labels by chance, hosts of one url each: rates that held their own label would give the trees each label of the sample."""
+    r = random.Random(8)
+    rows = [(f"http://h{k}.example.com/", int(r.random() < 0.5)) for k in range(600)]
+    df = spark.createDataFrame(rows, "url string, label int")
+    model = url_filter.fit(df, max_rows=300)
+    seen = model.blocks(df.withColumn("label", F.col("label") == 1)).select((F.col("blocks") == F.col("label")).cast("int").alias("x")).agg(F.avg("x")).first()[0]
+    assert seen < 0.75
+
+
 def test_url_rates_come_from_all_labelled_urls(spark):
     r = random.Random(5)
     block = [r.random() < 0.5 for _ in range(400)]
@@ -393,3 +516,12 @@ def test_topk_equals_brute_force(spark):
             want += [(q, k, c, -s) for k, (s, c) in enumerate(best, 1)]
         assert got == sorted(want)
     assert topk.top_k(df.limit(0), asked.limit(0)).count() == 0
+
+
+def test_topk_of_large_components_and_ids_with_two_vectors(spark):
+    rows = [(0, [1e15, 1.0]), (1, [1e3, 2.5]), (2, [3e2, -1.0]), (0, [-1e15, 1.0]), (3, [1e3, 2.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(x) for x in topk.top_k(df, df.filter("vec_id = 0"), scale=1.0, k=2).collect()]
+    assert got == [(0, 1, 2, -(10**15) * 300 - 1), (0, 2, 1, -(10**15) * 1000 + 2)]
+    with pytest.raises(Exception, match="range of a long"):
+        topk.top_k(spark.createDataFrame([(0, [1e18]), (1, [1e18])], "vec_id long, embedding array<double>"), df.limit(0).union(spark.createDataFrame([(0, [1e18])], "vec_id long, embedding array<double>"))).collect()
