@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linemart.llm.shared import bucketed, checkpointed, stored
@@ -231,37 +231,44 @@ def _verified(shingle: int, similarity: float):
     return run
 
 
-#: Shingles counted at once, and how often one is there to be sent on: both bound what a task holds and sends.
-COUNTED, OFTEN = 1 << 21, 3
+#: Shingles counted at once, how often one is there to be sent on, and bits of a set's parity signature.
+COUNTED, OFTEN, BITS = 1 << 21, 3, 1024
+
+
+def parities(h: np.ndarray) -> np.ndarray:
+    """16 longs: whether the number of shingles whose hash names a bit is odd. Two sets differ in at least as many shingles as bits."""
+    odd = np.bincount((h >> np.uint64(17)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
 def _prints_and_counts(shingle: int, prints: int):
-    """(v, r, fp) for each fingerprint of each text, and (count, -1, shingle) for shingles that many texts of a task share."""
+    """(v, n, prints, bits) for each text, n shingles in all, and (count, null, [shingle], null) for shingles that many texts of a task share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["v", "r", "fp"]
         held: list[np.ndarray] = []
+        size = 0
+
+        def batch(v: list[int], n: list, made: list, bits: list) -> pa.RecordBatch:
+            longs = pa.list_(pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()), pa.array(n, pa.int32()), pa.array(made, longs), pa.array(bits, longs)], names=["v", "n", "prints", "bits"])
 
         def counts() -> pa.RecordBatch:
             h, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
             held.clear()
-            h, n = h[n >= OFTEN], n[n >= OFTEN]
-            return pa.RecordBatch.from_arrays([pa.array(n.astype(np.int64)), pa.array(np.full(len(n), -1, np.int32)), pa.array(h.view(np.int64))], names=names)
+            h, n = h[n >= OFTEN].view(np.int64), n[n >= OFTEN]
+            return batch(n.tolist(), [None] * len(h), [[x] for x in h.tolist()], [None] * len(h))
 
-        size = 0
         for b in batches:
-            made: list[int] = []
+            n, made, bits = [], [], []
             for text in b.column(1).cast(pa.binary()).to_pylist():
                 h = np.unique(shingle_hashes(text or b"", shingle))
-                made += heavy_prints(h, prints)
+                n.append(len(h)), made.append(np.array(heavy_prints(h, prints), np.uint64).view(np.int64)), bits.append(parities(h))
                 held.append(h)
                 size += len(h)
                 if size >= COUNTED:
                     yield counts()
                     size = 0
-            fp = np.array(made, np.uint64).view(np.int64)
-            at = pa.array(np.repeat(np.arange(b.num_rows), prints))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array(np.tile(np.arange(prints, dtype=np.int32), b.num_rows)), pa.array(fp)], names=names)
+            yield batch(b.column(0).to_pylist(), n, made, bits)
         yield counts()
 
     return run
@@ -369,41 +376,50 @@ def similar_links(texts: DataFrame, shingle: int = 5, similarity: float = 0.8, p
     put large groups together at a cost in proportion to their size. What they leave apart, as texts that are not
     similar to their centre but to each other, meets by `prefix_meetings`. Each pair is verified on whole texts.
 
+    Parity signatures of all shingles tell most pairs that are not from a count of the bits that differ, exactly and
+    before any text is read: a set of members that are all just short of similar makes many such pairs.
+
     texts is read several times and joined by v, so it should be bucketed by it.
     """
-    made = checkpointed(texts.select("v", "text").mapInArrow(_prints_and_counts(shingle, prints), "v long, r int, fp long"))
-    often = made.filter("r < 0").groupBy(F.col("fp").alias("shingle")).agg(F.sum("v").alias("n"))
-    made = made.filter("r >= 0")
+    read = checkpointed(texts.select("v", "text").mapInArrow(_prints_and_counts(shingle, prints), "v long, n int, prints array<long>, bits array<long>"))
+    often = read.filter("n is null").groupBy(F.col("prints")[0].alias("shingle")).agg(F.sum("v").alias("n"))
+    read = read.filter("n is not null")
+    made = read.select("v", F.posexplode("prints").alias("r", "fp"))
     first = made.groupBy("r", "fp").agg(F.min("v").alias("a"))
     near = links(first.select("r", "fp"))
     of = lambda name: first.select("r", F.col("fp").alias(name), F.col("a").alias(f"v_{name}"))
     linked = near.join(of("a"), ["r", "a"]).join(of("b"), ["r", "b"]).select(F.col("v_a").alias("a"), F.col("v_b").alias("b"))
-    follow = made.select("v", F.pmod(F.col("r") - 1, F.lit(prints)).alias("r"), F.col("fp").alias("fp2"))
-    pairs = made.join(follow, ["v", "r"])
+    pairs = read.select("v", F.posexplode(F.transform("prints", lambda x, k: F.struct(x.alias("fp"), F.col("prints")[F.pmod(k + 1, F.lit(prints))].alias("fp2")))).alias("r", "two")).select("v", "r", "two.*")
     first2 = pairs.groupBy("r", "fp", "fp2").agg(F.min("v").alias("a"))
     stars = made.join(first, ["r", "fp"]).select("a", F.col("v").alias("b"))
     stars2 = pairs.join(first2, ["r", "fp", "fp2"]).select("a", F.col("v").alias("b"))
     ordered = lambda df: df.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    signature = lambda name: read.select(F.col("v").alias(name), F.struct("n", *[F.col("bits")[k].alias(f"w{k}") for k in range(BITS // 64)]).alias(f"s_{name}"))
+
+    def possible(x: str, y: str) -> Column:
+        """Whether sets with these signatures can be similar: sizes, and shingles that are in one of them only."""
+        n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+        apart = sum((F.bit_count(F.col(f"{x}.w{k}").bitwiseXOR(F.col(f"{y}.w{k}"))) for k in range(1, BITS // 64)), F.bit_count(F.col(f"{x}.w0").bitwiseXOR(F.col(f"{y}.w0"))))
+        return (apart <= (n + m) * F.lit((1 - similarity) / (1 + similarity)) + 1e-6) & (F.least(n, m) >= F.lit(similarity) * F.greatest(n, m) - 1e-6)
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs that are similar. First texts, which may repeat, go to their pairs by a join that can be split; then these go to the second ones."""
+        pairs = checkpointed(pairs.join(signature("a"), "a").join(signature("b"), "b").filter(possible("s_a", "s_b")).select("a", "b"))
         firsts = stored(texts.select(F.col("v").alias("a"), F.col("text").alias("x")).join(pairs.select("a").distinct(), "a", "left_semi"))
         both = pairs.join(firsts, "a").join(texts.select(F.col("v").alias("b"), F.col("text").alias("y")), "b")
         return checkpointed(both.select("a", "b", "x", "y").mapInArrow(_verified(shingle, similarity), "a long, b long"))
 
-    found = verified(checkpointed(ordered(stars.union(stars2).union(linked))))
+    found = verified(ordered(stars.union(stars2).union(linked)))
     roots = checkpointed(components(found))
     root = lambda df, name: df.join(roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}")), name, "left").withColumn(f"root_{name}", F.coalesce(f"root_{name}", name))
     meetings = checkpointed(prefix_meetings(texts, shingle, similarity, often, small).distinct())
     met = root(root(ordered(meetings.filter("shingle is null").select("a", "b")), "a"), "b").filter("root_a <> root_b").select("a", "b")
-    large = root(meetings.filter("shingle is not null").select("shingle", "a", "place"), "a")
-    large = checkpointed(large.select("shingle", "a", F.col("root_a").alias("root"), F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("at")))
+    large = checkpointed(root(meetings.filter("shingle is not null").select("shingle", "a"), "a").withColumnRenamed("root_a", "root"))
     mixed = large.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("shingle")
-    large = large.join(mixed, "shingle")
-    other = large.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("a", "root", "n", "at")])
-    enough = (F.least(F.expr("n - at"), F.expr("n2 - at2")) >= F.lit(similarity / (1 + similarity)) * F.expr("n + n2") - 1e-6) & (F.least("n", "n2") >= F.lit(similarity) * F.greatest("n", "n2") - 1e-6)
-    crossed = large.join(other, "shingle").filter(F.expr("a < a2 and root <> root2") & enough).select("a", F.col("a2").alias("b"))
-    return found.union(verified(checkpointed(met.union(crossed).distinct())))
+    large = large.join(mixed, "shingle").join(signature("a"), "a")
+    other = large.select("shingle", F.col("a").alias("b"), F.col("root").alias("root_b"), F.col("s_a").alias("s_b"))
+    crossed = large.join(other, "shingle").filter(F.expr("a < b and root <> root_b") & possible("s_a", "s_b")).select("a", "b")
+    return found.union(verified(met.union(crossed).distinct()))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
