@@ -241,6 +241,42 @@ def test_one_of_each_keeps_distinct_texts(spark):
     assert simhash_golay.one_of_each(df.limit(0)).count() == 0
 
 
+def test_parities_differ_in_no_more_bits_than_sets_in_shingles():
+    r = np.random.default_rng(1)
+    for n in (0, 1, 50, 3000):
+        x = np.unique(r.integers(0, 2**63, n, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[: n * 3 // 4], r.integers(0, 2**63, n // 4, dtype=np.uint64)]))
+        apart = sum((int(a) ^ int(b)).bit_count() for a, b in zip(simhash_golay.parities(x).view(np.uint64), simhash_golay.parities(y).view(np.uint64), strict=True))
+        assert apart <= len(np.setxor1d(x, y)) and (n < 50 or apart > n // 8)
+
+
+def test_one_of_each_equals_brute_force_on_a_large_group_of_near_copies(spark):
+    """Copies of one text with few or many changes: some are similar, most just short of it, none to the same centre."""
+    r = random.Random(11)
+    base = [f"w{r.randint(0, 99999)}" for _ in range(120)]
+    rows = []
+    for k in range(300):
+        w = list(base)
+        for at in r.sample(range(120), r.choice([1, 1, 2, 2, 3, 3, 4, 6])):
+            w[at] = f"x{r.randint(0, 99999)}"
+        rows.append((k, " ".join(w)))
+    sets = {k: set(simhash_golay.shingle_hashes(t.encode(), 5).tolist()) for k, t in rows}
+    root = list(range(300))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(300):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                p, q = find(a), find(b)
+                root[max(p, q)] = min(p, q)
+    got = sorted(x.doc_id for x in simhash_golay.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    assert 5 < len(got) < 250 and got == sorted({find(k) for k in range(300)})
+
+
 def test_one_of_each_finds_pairs_that_share_a_passage_with_thousands(spark):
     r = random.Random(6)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
@@ -457,6 +493,79 @@ def test_html_copies_of_a_page_are_no_evidence(spark):
     assert all("Welcome" in got[10 + k] and "Welcome" not in got[20 + k] and f"Story {k % 3} differs." in got[20 + k] for k in range(6))
 
 
+def noise(r, words):
+    """Parts around an article that vary from page to page: by their element or class, or without any mark."""
+    return r.choice([
+        f"<nav><ul><li><a href=/>{words(2)}</a></li></ul></nav>", f"<div class='ad'>{words(4)}</div>", f"<aside>{words(5)}</aside>", f"<form>{words(3)}<input></form>",
+        f"<section id=comments><p>{words(9)}</p></section>", f"<!-- {words(2)} -->", f"<script>{words(3)} < '</p>'</script>", f"<div class='cookie-notice'>{words(3)}</div>", f"<style>{words(1)}</style>",
+    ])
+
+
+@pytest.mark.parametrize("region", ["article", "main", "div"])
+def test_html_equals_what_pages_are_made_of(spark, region):
+    """Random pages of hosts with many and few pages, against the blocks that each was made of."""
+    r = random.Random(region)
+    words = lambda n: " ".join(r.choice(["alpha", "beta", "gamma", "delta", "héllo", "zwei", "três"]) + str(r.randint(0, 999)) for _ in range(n))
+    pages, want = [], {}
+    for k in range(240):
+        host = r.choice(["many", "more", f"few{k % 5}" if region != "div" else "many"])
+        blocks, body = [], ""
+        for j in range(r.randint(2, 6)):
+            t = words(r.randint(4, 30))
+            kind = "h1" if j == 0 else r.choice(["p", "p", "p", "blockquote", "ul"])
+            spaced = t.replace(" ", r.choice([" ", "\n  ", "&nbsp;", " <b>\t</b>"]), 1)
+            body += f"<ul><li>{spaced}</li></ul>" if kind == "ul" else f"<{kind}>{spaced}</{kind}>"
+            body += noise(r, words) if r.random() < 0.3 else ""
+            blocks.append(t)
+        fixed = f"<div><p>Welcome to {host}</p></div>" if host[0] == "m" else ""
+        inner = "<div><span>Share this story</span></div>" if host[0] == "m" else ""
+        body = f"<{region} id=x7>{body}{inner}</{region}>"
+        html = f"<!DOCTYPE html><html><head><title>{words(3)}</title></head><body>{noise(r, words)}{fixed}<header>Top</header>{body}{noise(r, words)}<footer>&copy; {words(2)}</footer></body></html>"
+        pages.append((k, f"http://{host}.example/{k}", html, "mine"))
+        want[k] = " ".join(blocks)
+    rows = [*pages, pages[0], pages[0]]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, role string").repartition(5)
+    got = html_wrapper.extract(df).collect()
+    assert len(got) == len(rows) and {x.role for x in got} == {"mine"}
+    assert {x.page_id: x.text for x in got} == want
+
+
+def test_html_slots_decide():
+    """Without its fixed slots and its region a wrapper gives another text."""
+    page = "<body><div class=hello><span>Hello reader</span></div><div><div><p>Story {k} is long and differs, {k} times.</p><p>And so does {k}.</p><div>Share this</div></div><div class=n><p>Note {k}</p></div></div></body>"
+    pages = [page.format(k=k) for k in range(5)]
+    whole = html_wrapper.page_items(pages[0])
+    for p in pages[1:]:
+        whole = html_wrapper.joined(whole, html_wrapper.page_items(p))
+    role = html_wrapper.roles(whole)
+    assert html_wrapper.received(html_wrapper.sent(role)) == role
+    assert html_wrapper.main_text(pages[1], role) == "Story 1 is long and differs, 1 times. And so does 1."
+    assert "Share this" in html_wrapper.main_text(pages[1], role | {"drop": []}) and "Note 1" in html_wrapper.main_text(pages[1], role | {"regions": []})
+
+
+def test_html_reads_any_page_in_linear_time():
+    many = 30_000
+    odd = [
+        "<div>" * many + "text", "<b>" * many + "text" + "</b>" * many, "<p>" * many + "text", "<a " * many + "text", "<a " * many + ">text", "<li>x" * many, "<table><tr><td>" * (many // 3) + "text",
+        "<a " + " ".join(f"x{k}='v\"'" for k in range(1000)), "<p>text</p><a b='" + "<i c=\"" * many, "<" * many + "text", "<!--" * many, "</p>" * many + "text", "<ul><li><b>" * (many // 3) + "text",
+        "".join(f"<div class=c{chr(97 + k % 26) * (k % 50)}>t</div>" for k in range(many // 10)), "<a b=\"" * many + ">text",
+    ]
+    for page in odd:
+        began = time.perf_counter()
+        item = html_wrapper.page_items(page)
+        role = html_wrapper.roles(html_wrapper.joined(html_wrapper.joined(item, html_wrapper.page_items(page)), html_wrapper.page_items(page)))
+        html_wrapper.main_text(page, role)
+        assert time.perf_counter() - began < 20, page[:40]
+
+
+def test_html_wrappers_leave_rare_items_out():
+    whole = None
+    for k in range(1024):
+        made = html_wrapper.page_items(f"<body><h1>T{k}</h1><div class={'x' + chr(97 + k % 26) * (1 + k // 26)}>odd {k}</div><p>Story {k}</p></body>")
+        whole = made if whole is None else html_wrapper.without_rare(html_wrapper.joined(whole, made))
+    assert len(whole.packed()) < 150
+
+
 def test_html_malformed_pages_end():
     cut = "<body><p>Text</p><a " + " ".join(f'data-a{k}="v"' for k in range(40))
     assert [x for x in html_wrapper.walk(cut)][:3] == [("open", "body"), ("open", "p"), ("text", "Text")]
