@@ -170,6 +170,37 @@ def test_substring_dedup(docs, none):
     assert substring_dedup.dedup_substrings(none).count() == 0
 
 
+def test_substring_dedup_of_ids_that_repeat(spark, monkeypatch):
+    """A null id and one that repeats: one document after another, in any number of blocks and with many sketches in a group."""
+    r = random.Random(3)
+    passages = [" ".join(f"p{r.randint(0, 9999)}" for _ in range(30)) for _ in range(5)]
+    rows = [(r.choice([None, 7, 7, k]), " ".join([f"w{k}", r.choice(passages), f"v{k}", r.choice(passages)])) for k in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tie = {x.text: x.tie for x in df.select("text", F.xxhash64("text").alias("tie")).collect()}
+    seen, want = set(), []
+    for d, t in sorted(rows, key=lambda x: (-1 if x[0] is None else x[0], tie[x[1]])):
+        w = t.split()
+        gone = set()
+        for i in range(len(w) - 19):
+            if (key := tuple(w[i : i + 20])) in seen:
+                gone |= set(range(i, i + 20))
+            seen.add(key)
+        want.append((d, len(w), len(gone)))
+    by = lambda rows: sorted(rows, key=str)
+    for message, load in ((400, 8192), (40_000, 3)):
+        monkeypatch.setattr(substring_dedup, "MESSAGE", message)
+        monkeypatch.setattr(substring_dedup, "LOAD", load)
+        for size in (300, 10**9):
+            assert by(tuple(x)[:3] for x in substring_dedup.dedup_substrings(df, block_bytes=size).collect()) == by(want)
+
+
+def test_substring_dedup_messages_follow_the_input():
+    for total in (10**8, 10**9, 3 * 10**10, 10**12, 10**14):
+        blocks, groups, sketches = substring_dedup.dealt_sizes(total, 6_000_000)
+        assert blocks * groups * substring_dedup.MESSAGE <= 1.1 * total + 400 * (blocks + groups + 1)
+        assert total / 5 / (groups * sketches) <= substring_dedup.LOAD
+
+
 def test_golay_words_within_one_bit_share_a_codeword():
     r = np.random.default_rng(5)
     w = r.integers(0, 1 << 23, 4000, dtype=np.uint32)
