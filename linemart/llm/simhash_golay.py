@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linemart.llm.shared import bucketed, checkpointed, stored
@@ -233,6 +233,8 @@ def _verified(shingle: int, similarity: float):
 
 #: Shingles counted at once, how often one is there to be sent on, and bits of a set's parity signature.
 COUNTED, OFTEN, BITS = 1 << 21, 3, 1024
+#: Frequent shingles of a text that are listed with each of them, at most.
+LISTED = 1024
 
 
 def parities(h: np.ndarray) -> np.ndarray:
@@ -410,15 +412,30 @@ def similar_links(texts: DataFrame, shingle: int = 5, similarity: float = 0.8, p
         return checkpointed(both.select("a", "b", "x", "y").mapInArrow(_verified(shingle, similarity), "a long, b long"))
 
     found = verified(ordered(stars.union(stars2).union(linked)))
-    roots = checkpointed(components(found))
-    root = lambda df, name: df.join(roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}")), name, "left").withColumn(f"root_{name}", F.coalesce(f"root_{name}", name))
     meetings = checkpointed(prefix_meetings(texts, shingle, similarity, often, small).distinct())
-    met = root(root(ordered(meetings.filter("shingle is null").select("a", "b")), "a"), "b").filter("root_a <> root_b").select("a", "b")
-    large = checkpointed(root(meetings.filter("shingle is not null").select("shingle", "a"), "a").withColumnRenamed("root_a", "root"))
+    crowds = meetings.filter("shingle is not null").select("shingle", "a")
+
+    def rooted(df: DataFrame, name: str, roots: DataFrame) -> DataFrame:
+        return df.join(roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}")), name, "left").withColumn(f"root_{name}", F.coalesce(f"root_{name}", name))
+
+    # members of a group that have no link to its centre mostly have one to some of their neighbours in a random order of those that share a frequent shingle
+    roots = checkpointed(components(found))
+    sized = crowds.join(crowds.groupBy("shingle").agg(F.count("*").alias("n")), "shingle").withColumn("order", F.xxhash64("a", "shingle"))
+    row = Window.partitionBy("shingle", F.pmod("order", F.ceil(F.col("n") / 256))).orderBy("order", "a")
+    beside = sized.select("a", F.array(F.lag("a", 1).over(row), F.lag("a", 2).over(row)).alias("two")).select("a", F.explode("two").alias("b")).filter("b is not null")
+    apart = rooted(rooted(ordered(beside), "a", roots), "b", roots).filter("root_a <> root_b")
+    found = found.union(verified(apart.select("a", "b")))
+    roots = checkpointed(components(found))
+    met = rooted(rooted(ordered(meetings.filter("shingle is null").select("a", "b")), "a", roots), "b", roots).filter("root_a <> root_b").select("a", "b")
+    large = checkpointed(rooted(crowds, "a", roots).withColumnRenamed("root_a", "root"))
     mixed = large.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("shingle")
-    large = large.join(mixed, "shingle").join(signature("a"), "a")
-    other = large.select("shingle", F.col("a").alias("b"), F.col("root").alias("root_b"), F.col("s_a").alias("s_b"))
-    crossed = large.join(other, "shingle").filter(F.expr("a < b and root <> root_b") & possible("s_a", "s_b")).select("a", "b")
+    large = checkpointed(large.join(mixed, "shingle"))
+    # a pair that shares many of these shingles is asked for at the smallest one; long lists are left out, and then it may be asked for more than once
+    shared = large.groupBy("a").agg(F.sort_array(F.collect_set("shingle")).alias("l")).select(F.col("a").alias("v"), F.when(F.size("l") <= LISTED, F.col("l")).alias("l"))
+    large = large.join(shared.withColumnRenamed("v", "a"), "a").join(signature("a"), "a")
+    other = large.select("shingle", F.col("a").alias("b"), F.col("root").alias("root_b"), F.col("s_a").alias("s_b"), F.col("l").alias("l_b"))
+    here = F.coalesce(F.array_min(F.array_intersect("l", "l_b")) == F.col("shingle"), F.lit(True))
+    crossed = large.join(other, "shingle").filter(F.expr("a < b and root <> root_b") & possible("s_a", "s_b") & here).select("a", "b")
     return found.union(verified(met.union(crossed).distinct()))
 
 
