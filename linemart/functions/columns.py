@@ -130,6 +130,11 @@ def row_hash(columns: list[str]) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns]))
 
 
+def row_snapshot(columns: list[str]) -> Column:
+    """The row as JSON, columns in the order given, null as null."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
 def _stripped(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
@@ -138,9 +143,9 @@ def dms_numbers(text: Column) -> Column:
     return F.regexp_extract_all(F.replace(_stripped(text), F.lit(","), F.lit(".")), F.lit(r"(\d+(?:[.,]\d+)?)"), F.lit(1))
 
 
-def dms_reason(text: Column) -> Column:
-    """Why a free-text coordinate cannot be converted; null if it can."""
-    clean, n = _stripped(text), dms_numbers(text)
+def dms_reason(text: Column, numbers: Column | None = None) -> Column:
+    """Why a free-text coordinate cannot be converted; null if it can. Its numbers may be given if a column has them."""
+    clean, n = _stripped(text), dms_numbers(text) if numbers is None else numbers
     part = lambda k: F.coalesce(F.try_element_at(n, F.lit(k)).try_cast("double"), F.lit(0.0))
     return (
         F.when(text.isNull(), "valor_nulo")
@@ -150,12 +155,12 @@ def dms_reason(text: Column) -> Column:
     )
 
 
-def dms_to_decimal(text: Column) -> Column:
+def dms_to_decimal(text: Column, numbers: Column | None = None, reason: Column | None = None) -> Column:
     """Degrees, minutes and seconds to degrees; S, O or W anywhere makes it negative, a minus sign does not."""
-    n = dms_numbers(text)
+    n = dms_numbers(text) if numbers is None else numbers
     part = lambda k: F.coalesce(F.try_element_at(n, F.lit(k)).try_cast("double"), F.lit(0.0))
     value = part(1) + part(2) / 60 + part(3) / 3600
-    return F.when(dms_reason(text).isNull(), F.when(F.upper(text).rlike("[SOW]"), -value).otherwise(value))
+    return F.when((dms_reason(text, n) if reason is None else reason).isNull(), F.when(F.upper(text).rlike("[SOW]"), -value).otherwise(value))
 
 
 def west_inferred(text: Column, longitude: Column) -> Column:

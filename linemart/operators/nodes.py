@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,17 +14,28 @@ RINGS = "array<array<array<double>>>"
 POLYGONS = f"array<{RINGS}>"
 
 
+def _held(out: DataFrame, **columns: Column) -> DataFrame:
+    """out with columns that are computed once: an array of one struct, exploded, which no condition on them passes.
+
+    Else a filter on coordinates takes the whole chain of expressions below itself, many times over, until the
+    generated code is too large to compile.
+    """
+    made = F.explode(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+    return out.select("*", made.alias("_held")).select(*[c for c in out.columns if c not in columns], "_held.*")
+
+
 def clean_coordinates(nodes: DataFrame) -> DataFrame:
     """nodes (latitude_text, longitude_text) with decimals if valid, `is_valid`, `west_inferred` and the reasons."""
-    lat, raw = C.dms_to_decimal(F.col("latitude_text")), C.dms_to_decimal(F.col("longitude_text"))
-    out = nodes.withColumn("_lat", lat).withColumn("_raw", raw)
-    out = out.withColumn("west_inferred", C.west_inferred(F.col("longitude_text"), F.col("_raw"))).withColumn("_lon", C.infer_west_longitude(F.col("longitude_text"), F.col("_raw")))
+    lat, lon = F.col("latitude_text"), F.col("longitude_text")
+    out = _held(nodes, _nlat=C.dms_numbers(lat), _nlon=C.dms_numbers(lon))
+    out = _held(out, _rlat=C.dms_reason(lat, F.col("_nlat")), _rlon=C.dms_reason(lon, F.col("_nlon"))).withColumn("_raw", C.dms_to_decimal(lon, F.col("_nlon"), F.col("_rlon")))
+    out = _held(out, _lat=C.dms_to_decimal(lat, F.col("_nlat"), F.col("_rlat")), _lon=C.infer_west_longitude(lon, F.col("_raw")), west_inferred=C.west_inferred(lon, F.col("_raw")))
     out = out.withColumn("_range", C.range_reason(F.col("_lat"), F.col("_lon")))
     valid = F.col("_range").isNull()
-    return out.withColumns({
-        "is_valid": valid, "latitude": F.when(valid, F.col("_lat")), "longitude": F.when(valid, F.col("_lon")),
-        "reasons": C.all_reasons(C.dms_reason(F.col("latitude_text")), C.dms_reason(F.col("longitude_text")), F.col("_range")),
-    }).drop("_lat", "_raw", "_lon", "_range")
+    out = _held(
+        out, is_valid=valid, latitude=F.when(valid, F.col("_lat")), longitude=F.when(valid, F.col("_lon")), reasons=C.all_reasons(F.col("_rlat"), F.col("_rlon"), F.col("_range"))
+    )
+    return out.drop("_nlat", "_nlon", "_rlat", "_rlon", "_raw", "_lat", "_lon", "_range")
 
 
 def invalid_reason_summary(cleaned: DataFrame) -> DataFrame:
@@ -51,28 +60,30 @@ def nonstandard_codes(boundaries: DataFrame) -> DataFrame:
     return boundaries.filter(bad).select("parish_code", "canton_code", "province_code")
 
 
-def _covering(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    known: dict[str, list] = {}
-    for b in batches:
-        hits = []
-        for x, y, code, polygons in zip(b["longitude"], b["latitude"], b["parish_code"], b["polygons"], strict=True):
-            if code not in known:
-                known[code] = [[np.array([list(p) for p in ring], float) for ring in rings] for rings in polygons]
-            hits.append(geometry.covers(x, y, known[code]))
-        yield b.loc[np.array(hits, bool), ["node", "parish_code"]]
+def _covering(key: tuple, spots: pd.DataFrame, shapes: pd.DataFrame) -> pd.DataFrame:
+    """The nodes of one parish, or of a part of them, that its polygons cover."""
+    hit = np.zeros(len(spots), bool)
+    for polygons in shapes["polygons"]:
+        rings = [[np.array([list(p) for p in ring], float) for ring in rings] for rings in polygons]
+        hit |= geometry.covers(spots["longitude"].to_numpy(float), spots["latitude"].to_numpy(float), rings)
+    return spots.loc[hit, ["node", "parish_code"]]
 
 
-def point_in_parish(nodes: DataFrame, boundaries: DataFrame, cell: float = 0.25) -> DataFrame:
+def point_in_parish(nodes: DataFrame, boundaries: DataFrame, cell: float = 0.25, parts: int = 8) -> DataFrame:
     """(node, parish_code) of located nodes: the smallest code among parishes that cover the point, borders included.
 
-    Points and boxes meet in grid cells by an equi-join, of any size; the exact test follows on candidates only.
+    Points and boxes meet in grid cells by an equi-join, of any size, without polygons. The candidates of a parish then
+    meet its polygons once in each of `parts` parts, where all are tested together; parts split a crowded parish.
     """
     grid = lambda c: F.floor(F.col(c) / cell)
-    boxes = with_box(boundaries).withColumn("_gx", F.explode(F.sequence(grid("min_x"), grid("max_x")))).withColumn("_gy", F.explode(F.sequence(grid("min_y"), grid("max_y"))))
+    boxes = with_box(boundaries).drop("polygons").withColumn("_gx", F.explode(F.sequence(grid("min_x"), grid("max_x")))).withColumn("_gy", F.explode(F.sequence(grid("min_y"), grid("max_y"))))
+    boxes = boxes.select("parish_code", "min_x", "max_x", "min_y", "max_y", "_gx", "_gy")
     spots = nodes.filter("latitude is not null and longitude is not null").select("node", "latitude", "longitude", grid("longitude").alias("_gx"), grid("latitude").alias("_gy"))
     near = spots.join(boxes, ["_gx", "_gy"]).filter((F.col("longitude") >= F.col("min_x")) & (F.col("longitude") <= F.col("max_x")) & (F.col("latitude") >= F.col("min_y")) & (F.col("latitude") <= F.col("max_y")))
+    near = near.select("node", "latitude", "longitude", "parish_code", F.pmod(F.xxhash64("node"), F.lit(parts)).alias("_part"))
+    shapes = boundaries.select(F.col("parish_code").alias("_shape"), "polygons", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("_part"))
     kind = nodes.schema["node"].dataType.simpleString()
-    hits = near.select("node", "latitude", "longitude", "parish_code", "polygons").mapInPandas(_covering, f"node {kind}, parish_code string")
+    hits = near.groupBy("parish_code", "_part").cogroup(shapes.groupBy("_shape", "_part")).applyInPandas(_covering, f"node {kind}, parish_code string")
     return hits.groupBy("node").agg(F.min("parish_code").alias("parish_code"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linemart.functions.columns import row_snapshot
+
 BEGINNING = "1900-01-01 00:00:00"
 
 
@@ -88,7 +90,7 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
 def correction_history(before: DataFrame, after: DataFrame, key: list[str], hash_col: str = "row_hash") -> DataFrame:
     """The image, before the change, of rows whose hash changed; new rows have none."""
     changed = before.alias("a").join(after.select(*key, hash_col).alias("b"), same("a", "b", key)).filter(~same("a", "b", [hash_col]))
-    return changed.select(*[F.col(f"a.{c}").alias(c) for c in key], F.col(f"a.{hash_col}").alias("old_hash"), F.col(f"b.{hash_col}").alias("new_hash"), F.to_json(F.struct("a.*"), {"ignoreNullFields": "false"}).alias("before_image"))
+    return changed.select(*[F.col(f"a.{c}").alias(c) for c in key], F.col(f"a.{hash_col}").alias("old_hash"), F.col(f"b.{hash_col}").alias("new_hash"), row_snapshot([f"a.{c}" for c in before.columns]).alias("before_image"))
 
 
 def sync_admin_codes(summary: DataFrame, codes: DataFrame, key: str, columns: list[str]) -> DataFrame:
