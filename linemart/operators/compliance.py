@@ -148,8 +148,10 @@ def province_full_outer(now: DataFrame, gone: DataFrame) -> DataFrame:
     return out.filter("lines_absent > 0").withColumn("pct_understated", F.coalesce(pct(F.col("lines_absent"), F.col("lines_now") + F.col("lines_absent"), 1), F.lit(0.0)))
 
 
-def month_diff(series: DataFrame, value: str, order: str, key: list[str] = ()) -> DataFrame:
-    """Difference and percentage against the row before (not the calendar month); null where that is zero or missing."""
+def month_diff(series: DataFrame, value: str, order: str, key: list[str]) -> DataFrame:
+    """Difference and percentage against the row before (not the calendar month) of the same key; null where that is zero or missing."""
+    if not key:
+        raise ValueError("month_diff needs a key: without one the whole series would be sorted in one task")
     w = Window.partitionBy(*key).orderBy(order)
     before = F.lag(value).over(w)
     return series.withColumn("diff", F.col(value) - before).withColumn("pct_change", pct(F.col(value) - before, before, 4))

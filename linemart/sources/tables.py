@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linemart.operators.scd import upsert
+from linemart.operators.scd import same, upsert
 
 BOUNDARY_FIELDS = ["parish_code", "parish_name", "canton_code", "canton_name", "province_code", "province_name", "geometry"]
 LOG_SCHEMA = "load_type string, year int, n_rows long, status string, error string, loaded_at timestamp"
@@ -44,17 +44,38 @@ def read_boundaries(spark: SparkSession, path: str) -> DataFrame:
 def upsert_summary(spark: SparkSession, path: str, batch: DataFrame, key: list[str], partitions: list[str]) -> None:
     """Replaces rows of the same key in the partitions that the batch touches, and stamps the load time.
 
-    The new content of those partitions is written beside the table first: a path is never read and overwritten at once.
+    The next content of the touched partitions is written as a batch of its own under path/data; a manifest (a row for
+    each partition: its values and the batch that holds it) is then published, which makes all of them current at once.
+    Other partitions are neither read nor written, and a crash leaves the manifest before. Null key and partition values
+    are equal to each other. A batch with two rows of one key is an error, as either could be meant.
     """
     stamped = batch.withColumn("loaded_at", F.current_timestamp())
-    if not exists(spark, path):
-        stamped.write.partitionBy(*partitions).parquet(path)
-        return
-    target = spark.read.parquet(path)
-    touched = target.join(batch.select(*partitions).distinct(), partitions, "left_semi").select(*stamped.columns)
-    beside = f"{path.rstrip('/')}__next"
-    upsert(touched, stamped, key).write.mode("overwrite").parquet(beside)
-    spark.read.schema(stamped.schema).parquet(beside).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    twice = batch.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"the batch has {twice[0]['n']} rows of the key {tuple(twice[0][k] for k in key)}")
+    number = max([-1, *_numbers(spark, f"{path}/data", "batch"), *_numbers(spark, f"{path}/manifest", "version")]) + 1
+    touched = batch.select(*partitions).distinct()
+    manifest, after = touched.withColumn("batch", F.lit(number)), stamped
+    if current_version(spark, f"{path}/manifest") is not None:
+        before = read_published(spark, f"{path}/manifest")
+        held = read_summary(spark, path).alias("a").join(touched.alias("b"), same("a", "b", partitions), "left_semi").select(*stamped.columns)
+        after = upsert(held, stamped, key)
+        manifest = before.alias("a").join(touched.alias("b"), same("a", "b", partitions), "left_anti").unionByName(manifest)
+    after.write.partitionBy(*partitions).parquet(f"{path}/data/batch={number}")
+    publish_with_previous(spark, manifest, f"{path}/manifest")
+
+
+def read_summary(spark: SparkSession, path: str, back: int = 0) -> DataFrame:
+    """What upserts have made current, or what was so many upserts ago."""
+    manifest = read_published(spark, f"{path}/manifest", back)
+    keys = [f for f in manifest.schema.fields if f.name != "batch"]
+    batches = [r.batch for r in manifest.select("batch").distinct().collect()]
+    at = spark.read.option("basePath", f"{path}/data")
+    files = [f"{path}/data/batch={n}" for n in batches]
+    values = [f for f in at.parquet(*files).schema.fields if f.name not in manifest.columns]
+    found = at.schema(T.StructType([*values, T.StructField("batch", T.IntegerType()), *keys])).parquet(*files)
+    current = same("a", "b", manifest.columns)
+    return found.alias("a").join(manifest.alias("b"), current, "left_semi").drop("batch")
 
 
 def append_load_log(spark: SparkSession, path: str, load_type: str, year: int, n_rows: int, status: str, error: str | None = None) -> None:
@@ -67,19 +88,44 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The numbers of entries prefix=number, in order."""
+    fs, where = _folder(spark, path)
+    if not fs.exists(where):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(where)]
+    return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{prefix}=") and n.partition("=")[2].isdigit())
+
+
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """The published version: the highest with a mark. A version without one was never finished."""
+    return max(_numbers(spark, path, "current"), default=None)
+
+
 def publish_with_previous(spark: SparkSession, df: DataFrame, path: str) -> str:
-    """Writes the next version, then moves the pointer; the version before stays. Gives the new version's path."""
-    pointer = f"{path}/current"
-    number = 0 if not exists(spark, pointer) else int(spark.read.text(pointer).first()[0]) + 1
+    """Writes the next version, then marks it as current by an empty folder, made at once; those before stay. Gives the new version's path.
+
+    Numbers only rise, above those of versions that were begun and never marked, so nothing is overwritten.
+    """
+    number = max([-1, *_numbers(spark, path, "version"), *_numbers(spark, path, "current")]) + 1
     version = f"{path}/version={number}"
-    df.write.mode("overwrite").parquet(version)
-    spark.createDataFrame([(str(number),)], "value string").coalesce(1).write.mode("overwrite").text(pointer)
+    df.write.parquet(version)
+    fs, mark = _folder(spark, f"{path}/current={number}")
+    fs.mkdirs(mark)
     return version
 
 
 def read_published(spark: SparkSession, path: str, back: int = 0) -> DataFrame:
-    number = int(spark.read.text(f"{path}/current").first()[0]) - back
-    return spark.read.parquet(f"{path}/version={number}")
+    """The current version, or one so many published versions back."""
+    marked = _numbers(spark, path, "current")
+    if len(marked) <= back:
+        raise ValueError(f"{path} has {len(marked)} published versions")
+    return spark.read.parquet(f"{path}/version={marked[-1 - back]}")
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
@@ -94,5 +140,5 @@ def load_if_empty(spark: SparkSession, path: str, build, force: bool = False) ->
 
 
 def export_report(df: DataFrame, path: str) -> None:
-    """A report grid, small by its nature, as one CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """A report grid, small by its nature, as one CSV file with a header. It is computed in all tasks and gathered at the end."""
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
