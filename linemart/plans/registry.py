@@ -114,7 +114,9 @@ def with_stored(final: str) -> str:
 
 
 add("upsert_summary", lambda m: scd.upsert(stored(m), stored(m, True), NATURAL_KEY), with_stored(f"SELECT * FROM before b WHERE NOT EXISTS (SELECT 1 FROM later l WHERE {same('b', 'l', NATURAL_KEY)}) UNION ALL SELECT * FROM later"))
-add("correction_history", lambda m: scd.correction_history(stored(m), stored(m, True), NATURAL_KEY).drop("before_image"), with_stored(f"SELECT {commas(NATURAL_KEY, 'b.{}')}, b.row_hash AS old_hash, l.row_hash AS new_hash FROM before b JOIN later l ON {same('b', 'l', NATURAL_KEY)} WHERE b.row_hash <> l.row_hash"))
+SNAPSHOT = "to_json({{" + ", ".join(f"'{c}': {{row}}.{c}" for c in [*HASHED, "row_hash"]) + "}})::VARCHAR"
+add("row_snapshot_json", lambda m: stored(m).select(*NATURAL_KEY, C.row_snapshot([*HASHED, "row_hash"]).alias("snapshot")), with_stored(f"SELECT {commas(NATURAL_KEY)}, {SNAPSHOT.format(row='before')} AS snapshot FROM before"))
+add("correction_history", lambda m: scd.correction_history(stored(m), stored(m, True), NATURAL_KEY), with_stored(f"SELECT {commas(NATURAL_KEY, 'b.{}')}, b.row_hash AS old_hash, l.row_hash AS new_hash, {SNAPSHOT.format(row='b')} AS before_image FROM before b JOIN later l ON {same('b', 'l', NATURAL_KEY)} WHERE b.row_hash <> l.row_hash"))
 add("detect_change", lambda m: scd.detect_change(stored(m), stored(m, True), NATURAL_KEY, ["lines", "users"]), with_stored(f"SELECT {commas(NATURAL_KEY, 'b.{}')} FROM before b JOIN later l ON {same('b', 'l', NATURAL_KEY)} WHERE NOT (b.lines IS NOT DISTINCT FROM l.lines AND b.users IS NOT DISTINCT FROM l.users)"))
 RECONCILED = f"SELECT {', '.join(f'CASE WHEN b.row_hash IS NOT NULL THEN b.{c} ELSE l.{c} END AS {c}' for c in NATURAL_KEY)}, CASE WHEN b.row_hash IS NULL THEN 'only_stored' WHEN l.row_hash IS NULL THEN 'only_source' ELSE 'different' END AS finding FROM before b FULL JOIN later l ON {same('b', 'l', NATURAL_KEY)} WHERE b.row_hash IS DISTINCT FROM l.row_hash"
 add("reconcile_hashes", lambda m: scd.reconcile_hashes(stored(m), stored(m, True), NATURAL_KEY), with_stored(RECONCILED))
@@ -206,7 +208,7 @@ offset = ", ".join(f"lines - {p} AS diff_{n}, round(100.0 * (lines - {p})::DOUBL
 add("calendar_offset_join", lambda m: facts.calendar_offset_join(m.market.select("period_id", "month", "territory_id", "lines")), sql(f"SELECT *, {offset} FROM (SELECT a.period_id, a.month, a.territory_id, a.lines, b.lines AS prev_month, c.lines AS prev_year FROM market a LEFT JOIN market b ON b.territory_id = a.territory_id AND b.month = a.month - INTERVAL 1 MONTH LEFT JOIN market c ON c.territory_id = a.territory_id AND c.month = a.month - INTERVAL 1 YEAR)"))
 add("speed_market", lambda m: facts.speed_market(m.fact, m.bridge), sql("SELECT * FROM speed_wide"))
 add("band_share", lambda m: m.speeds, sql("SELECT * FROM speeds"))
-add("month_diff", lambda m: compliance.month_diff(m.market.filter(F.col("territory_id") == C.NATIONAL).select("period_id", "lines"), "lines", "period_id"), sql("SELECT period_id, lines, lines - lag(lines) OVER w AS diff, round(100.0 * (lines - lag(lines) OVER w)::DOUBLE / nullif(lag(lines) OVER w, 0), 4) AS pct_change FROM market WHERE territory_id = 'NACIONAL|ECUADOR' WINDOW w AS (ORDER BY period_id)"))
+add("month_diff", lambda m: compliance.month_diff(m.market.select("territory_id", "period_id", "lines"), "lines", "period_id", ["territory_id"]).filter(F.col("territory_id") == C.NATIONAL).drop("territory_id"), sql("SELECT period_id, lines, lines - lag(lines) OVER w AS diff, round(100.0 * (lines - lag(lines) OVER w)::DOUBLE / nullif(lag(lines) OVER w, 0), 4) AS pct_change FROM market WHERE territory_id = 'NACIONAL|ECUADOR' WINDOW w AS (ORDER BY period_id)"))
 
 # Dimensions and views
 
@@ -285,9 +287,25 @@ add("geographic_dependency", lambda m: compliance.geographic_dependency(m.fact,
 add("months_stopped_histogram", lambda m: compliance.months_stopped_histogram(stopped(m)), sql("SELECT least(floor((months_since - a) / (greatest(b - a, 1) / 30.0::DOUBLE)), 29)::INT AS bin, count(*) AS n_providers FROM stopped, (SELECT min(months_since) AS a, max(months_since) AS b FROM stopped) GROUP BY bin"))
 add("count_by_category", lambda m: compliance.count_by_category(never(m), "compliance_class"), sql("SELECT compliance_class, count(*) AS n_rows FROM never GROUP BY compliance_class"))
 add("top_provinces", lambda m: compliance.top_categories(m.geographies, "province_name"), sql("SELECT province_name, count(*) AS n_rows FROM geographies GROUP BY province_name ORDER BY n_rows DESC, province_name LIMIT 15"))
-add("mart_checks", lambda m: quality.mart_checks(m.fact, m.share, m.hhi, m.market), sql(
-    "SELECT * FROM (VALUES " + ", ".join(f"('{c}', 0::BIGINT)" for c in ("shares_sum_to_100", "hhi_in_range", "provider_counts_add_up", "no_share_without_report", "coverage_in_range", "cr2_cr4_ordered")) + ") v(\"check\", n_bad) UNION ALL SELECT 'bands_sum_to_lines', count(*) FROM fact WHERE " + " OR ".join("(" + " + ".join(f"coalesce({d}_{b}, 0)" for b in C.BAND_NAMES) + ") <> coalesce(lines, 0)" for d in ("dl", "ul"))
-    + " UNION ALL SELECT 'reported_and_imputed_sum', count(*) FROM fact WHERE " + " OR ".join(f"coalesce({c}, 0) <> coalesce({c}_reported, 0) + coalesce({c}_imputed, 0)" for c in ["lines", *C.BAND_COLUMNS])))
+CHECKS = {
+    "shares_sum_to_100": "SELECT period_id FROM share WHERE hhi_term IS NOT NULL GROUP BY period_id, territory_id HAVING abs(sum(share_pct) - 100) > 0.01",
+    "hhi_in_range": "SELECT period_id FROM hhi WHERE hhi < 0 OR hhi > 10000.01",
+    "provider_counts_add_up": "SELECT period_id FROM market WHERE n_positive + n_zero + n_no_data <> n_providers",
+    "bands_sum_to_lines": "SELECT period_id FROM fact WHERE " + " OR ".join("(" + " + ".join(f"coalesce({d}_{b}, 0)" for b in C.BAND_NAMES) + ") <> coalesce(lines, 0)" for d in ("dl", "ul")),
+    "reported_and_imputed_sum": "SELECT period_id FROM fact WHERE " + " OR ".join(f"coalesce({c}, 0) <> coalesce({c}_reported, 0) + coalesce({c}_imputed, 0)" for c in ["lines", *C.BAND_COLUMNS]),
+    "no_share_without_report": "SELECT period_id FROM share WHERE NOT has_reported AND share_pct IS NOT NULL",
+    "coverage_in_range": "SELECT period_id FROM share WHERE coverage_pct < 0 OR coverage_pct > 100",
+    "cr2_cr4_ordered": "SELECT period_id FROM hhi WHERE cr2 > cr4 + 0.001 OR cr4 > 100.001",
+}
+add("mart_checks", lambda m: quality.mart_checks(m.fact, m.share, m.hhi, m.market), sql(" UNION ALL ".join(f"SELECT '{name}' AS \"check\", count(*) AS n_bad FROM ({text})" for name, text in CHECKS.items())))
+add(
+    "mart_check_rows",
+    lambda m: quality.mart_check_rows(m.fact, m.share, m.hhi, m.market).select("check", "period_id", "territory_id", "provider_id", "geography_id"),
+    sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS \"check\", period_id::VARCHAR AS period_id, {'territory_id' if from_ != 'fact' else 'NULL::VARCHAR'} AS territory_id, {'provider_id' if from_ in ('fact', 'share') and name != 'shares_sum_to_100' else 'NULL::VARCHAR'} AS provider_id, {'geography_id' if from_ == 'fact' else 'NULL::VARCHAR'} AS geography_id FROM ({text.replace('SELECT period_id', 'SELECT *' if name != 'shares_sum_to_100' else 'SELECT period_id, territory_id')})"
+        for name, text in CHECKS.items() for from_ in [text.split(" FROM ")[1].split(" ")[0]]
+    )),
+)
 
 # Nodes
 
@@ -299,8 +317,32 @@ NODE = {
     "parish_code": "lpad(CAST(c_nationkey AS STRING), 6, '0')", "reported_canton": "CASE WHEN c_custkey % 6 = 0 THEN ' ' ELSE lpad(CAST(c_nationkey AS STRING), 4, '0') END",
     "latitude_text": LAT, "longitude_text": LON,
 }
-BOX = "[[{x}.0, {y}.0], [{x1}.0, {y}.0], [{x1}.0, {y1}.0], [{x}.0, {y1}.0], [{x}.0, {y}.0]]"
-SQUARE = "'{\"type\": \"Polygon\", \"coordinates\": [[[' || " + " || '], [' || ".join(f"CAST({a} AS STRING) || '.0, ' || CAST({b} AS STRING) || '.0'" for a, b in (("x", "y"), ("x + 1", "y"), ("x + 1", "y + 1"), ("x", "y + 1"), ("x", "y"))) + " || ']]]}'"
+#: Corners of the parish shapes by number modulo 4: a square, an L, a square with a hole, and two strips. Coordinates count from the cell's corner.
+SHAPES = [
+    [[[(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]]],
+    [[[(0, 0), (1, 0), (1, 0.45), (0.45, 0.45), (0.45, 1), (0, 1), (0, 0)]]],
+    [[[(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)], [(0.25, 0.25), (0.75, 0.25), (0.75, 0.75), (0.25, 0.75), (0.25, 0.25)]]],
+    [[[(0, 0), (0.35, 0), (0.35, 1), (0, 1), (0, 0)]], [[(0.65, 0), (1, 0), (1, 1), (0.65, 1), (0.65, 0)]]],
+]
+IN_SHAPE = "CASE k % 4 WHEN 1 THEN NOT (longitude > x + 0.45 AND latitude > y + 0.45) WHEN 2 THEN NOT (longitude > x + 0.25 AND longitude < x + 0.75 AND latitude > y + 0.25 AND latitude < y + 0.75) WHEN 3 THEN NOT (longitude > x + 0.35 AND longitude < x + 0.65) ELSE true END"
+CORNERS = "CASE k % 4 WHEN 0 THEN 5 WHEN 1 THEN 7 ELSE 10 END"
+
+
+def _shape_text(shape: list) -> str:
+    """SQL of a shape's GeoJSON; after the first corner come the points `edge` of the lower border."""
+    point = lambda p: f"concat('[', x + CAST({p[0]} AS DOUBLE), ',', y + CAST({p[1]} AS DOUBLE), ']')"
+    polygons = []
+    for n, rings in enumerate(shape):
+        made = []
+        for k, ring in enumerate(rings):
+            corners = [point(c) for c in ring]
+            if n == 0 and k == 0:
+                corners.insert(1, "CASE WHEN size(edge) > 0 THEN array_join(transform(edge, e -> concat('[', x + e, ',', CAST(y AS DOUBLE), ']')), ',') END")
+            made.append("concat('[', concat_ws(',', " + ", ".join(corners) + "), ']')")
+        polygons.append("concat('[', concat_ws(',', " + ", ".join(made) + "), ']')")
+    if len(polygons) == 1:
+        return "concat('{\"type\": \"Polygon\", \"coordinates\": ', " + polygons[0] + ", '}')"
+    return "concat('{\"type\": \"MultiPolygon\", \"coordinates\": [', concat_ws(',', " + ", ".join(polygons) + "), ']}')"
 
 
 def node_rows(m: Mart) -> DataFrame:
@@ -308,8 +350,13 @@ def node_rows(m: Mart) -> DataFrame:
 
 
 def boundaries(m: Mart) -> DataFrame:
-    cells = m.table("nation").selectExpr("*", "CAST(n_nationkey % 5 - 80 AS INT) AS x", "CAST(n_nationkey DIV 5 - 4 AS INT) AS y")
-    rows = cells.selectExpr("lpad(CAST(n_nationkey AS STRING), 6, '0') AS parish_code", "n_name AS parish_name", "lpad(CAST(n_nationkey DIV 2 AS STRING), 4, '0') AS canton_code", "'K' || CAST(n_nationkey DIV 2 AS STRING) AS canton_name", "lpad(CAST(n_regionkey AS STRING), 2, '0') AS province_code", "'R' || CAST(n_regionkey AS STRING) AS province_name", f"{SQUARE} AS geometry")
+    """A parish for each nation, in four shapes; its lower border has a vertex for each place of a supplier, so vertices grow with the tables."""
+    places = m.table("supplier").selectExpr("s_nationkey", "0.35 * ((s_suppkey % 997) + 0.5D) / 1000 AS e")
+    edges = places.groupBy("s_nationkey").agg(F.sort_array(F.collect_set("e")).alias("edge"))
+    cells = m.table("nation").selectExpr("*", "n_nationkey AS k", "CAST(n_nationkey % 5 - 80 AS INT) AS x", "CAST(n_nationkey DIV 5 - 4 AS INT) AS y")
+    cells = cells.join(edges, F.col("n_nationkey") == F.col("s_nationkey"), "left").withColumn("edge", F.coalesce("edge", F.array().cast("array<double>")))
+    text = "CASE k % 4 " + " ".join(f"WHEN {k} THEN {_shape_text(shape)}" for k, shape in enumerate(SHAPES)) + " END AS geometry"
+    rows = cells.selectExpr("lpad(CAST(n_nationkey AS STRING), 6, '0') AS parish_code", "n_name AS parish_name", "lpad(CAST(n_nationkey DIV 2 AS STRING), 4, '0') AS canton_code", "'K' || CAST(n_nationkey DIV 2 AS STRING) AS canton_name", "lpad(CAST(n_regionkey AS STRING), 2, '0') AS province_code", "'R' || CAST(n_regionkey AS STRING) AS province_name", text)
     return rows.withColumn("polygons", nodes.parse_geojson(F.col("geometry")))
 
 
@@ -337,8 +384,9 @@ NODES = (
     "n2 AS (SELECT *, coalesce(raw > 0 AND NOT regexp_matches(upper(coalesce(longitude_text, '')), '[NSOEW]'), false) AS west_inferred FROM n1), n3 AS (SELECT *, CASE WHEN west_inferred THEN -raw ELSE raw END AS lo FROM n2), "
     "n4 AS (SELECT *, CASE WHEN la IS NULL OR lo IS NULL THEN 'coordenada_no_convertible' WHEN NOT la BETWEEN -5.0 AND 1.5 THEN printf('latitud_fuera_de_rango_ecuador(%.4f)', la) WHEN NOT lo BETWEEN -92.0 AND -75.0 THEN printf('longitud_fuera_de_rango_ecuador(%.4f)', lo) END AS rr FROM n3), "
     f"cleaned AS (SELECT {commas(NODE)}, west_inferred, rr IS NULL AS is_valid, CASE WHEN rr IS NULL THEN la END AS latitude, CASE WHEN rr IS NULL THEN lo END AS longitude, nullif(array_to_string(list_filter([{_reason('latitude_text')}, CASE WHEN {_reason('longitude_text')} IS DISTINCT FROM {_reason('latitude_text')} THEN {_reason('longitude_text')} END, rr], lambda x: x IS NOT NULL), '; '), '') AS reasons FROM n4), "
-    "cells AS (SELECT n_nationkey % 5 - 80 AS x, n_nationkey // 5 - 4 AS y, lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS parish_code, lpad(CAST(n_nationkey // 2 AS VARCHAR), 4, '0') AS canton_code, 'K' || (n_nationkey // 2) AS canton_name, lpad(CAST(n_regionkey AS VARCHAR), 2, '0') AS province_code, 'R' || n_regionkey AS province_name FROM nation), "
-    "located AS (SELECT node, min(c.parish_code) AS parish_code FROM cleaned n JOIN cells c ON longitude BETWEEN x AND x + 1 AND latitude BETWEEN y AND y + 1 GROUP BY node), "
+    "cells AS (SELECT n_nationkey AS k, n_nationkey % 5 - 80 AS x, n_nationkey // 5 - 4 AS y, lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS parish_code, lpad(CAST(n_nationkey // 2 AS VARCHAR), 4, '0') AS canton_code, 'K' || (n_nationkey // 2) AS canton_name, lpad(CAST(n_regionkey AS VARCHAR), 2, '0') AS province_code, 'R' || n_regionkey AS province_name FROM nation), "
+    "located AS (SELECT node, min(c.parish_code) AS parish_code FROM cleaned n JOIN cells c ON longitude BETWEEN x AND x + 1 AND latitude BETWEEN y AND y + 1 AND " + IN_SHAPE + " GROUP BY node), "
+    "vertices AS (SELECT parish_code, " + CORNERS + " AS corners, (SELECT count(DISTINCT s_suppkey % 997) FROM supplier WHERE s_nationkey = k) AS placed FROM cells), "
     "discrepant AS (SELECT node, reported_canton, l.parish_code AS derived_parish, c.canton_code AS derived_canton, c.province_code AS derived_province, coalesce(nullif(trim(reported_canton), '') <> c.canton_code, false) AS is_discrepant FROM cleaned JOIN located l USING (node) JOIN cells c ON c.parish_code = l.parish_code) "
 )
 plain("validate_coordinates", lambda m: cleaned(m).select("node", "west_inferred", "is_valid", F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"), "reasons"), NODES + "SELECT node, west_inferred, is_valid, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, reasons FROM cleaned")
@@ -352,6 +400,6 @@ plain("node_filter", lambda m: nodes.node_filter(node_rows(m), provinces=["01",
 plain("nonstandard_codes", lambda m: nodes.nonstandard_codes(boundaries(m).withColumn("parish_code", F.when(F.col("parish_code") == "000007", "ISLA").otherwise(F.col("parish_code")))), NODES + "SELECT 'ISLA' AS parish_code, canton_code, province_code FROM cells WHERE parish_code = '000007'")
 plain("boundary_rollup", lambda m: nodes.boundary_rollup(boundaries(m), "canton").drop("polygons"), NODES + "SELECT canton_code, min(canton_name) AS name, count(*) AS n_parishes, min(x)::DOUBLE AS min_x, min(y)::DOUBLE AS min_y, max(x + 1)::DOUBLE AS max_x, max(y + 1)::DOUBLE AS max_y FROM cells GROUP BY canton_code")
 plain("territory_bounds", lambda m: nodes.territory_bounds(nodes.with_box(boundaries(m)), provinces=["01", "02"]), NODES + "SELECT min(x)::DOUBLE AS min_x, min(y)::DOUBLE AS min_y, max(x + 1)::DOUBLE AS max_x, max(y + 1)::DOUBLE AS max_y FROM cells WHERE province_code IN ('01', '02')")
-plain("parse_geojson", lambda m: boundaries(m).select("parish_code", nodes.vertex_count().alias("n_vertices")), NODES + "SELECT parish_code, 5::BIGINT AS n_vertices FROM cells")
-plain("simplify_boundary", lambda m: nodes.simplify_boundary(boundaries(m), 0.001).select("parish_code", "n_before", "n_after"), NODES + "SELECT parish_code, 5::BIGINT AS n_before, 5::BIGINT AS n_after FROM cells")
+plain("parse_geojson", lambda m: boundaries(m).select("parish_code", nodes.vertex_count().alias("n_vertices")), NODES + "SELECT parish_code, (corners + placed)::BIGINT AS n_vertices FROM vertices")
+plain("simplify_boundary", lambda m: nodes.simplify_boundary(boundaries(m), 0.001).select("parish_code", "n_before", "n_after"), NODES + "SELECT parish_code, (corners + placed)::BIGINT AS n_before, corners::BIGINT AS n_after FROM vertices")
 add("node_map", lambda m: nodes.node_map(node_rows(m).select("node", "licence"), located(m), dims.provider_licence_bridge(m.normalised), m.providers, discrepant(m)), NODES.rstrip() + ", " + sql("\x00")[len("WITH "):].replace("\x00", "SELECT n.node, n.licence, l.parish_code, b.provider_id, p.provider_name, coalesce(d.is_discrepant, false) AS is_discrepant FROM nodes n LEFT JOIN located l USING (node) LEFT JOIN (SELECT DISTINCT provider_id, licence FROM normalised) b ON b.licence = n.licence LEFT JOIN providers p ON p.provider_id = b.provider_id LEFT JOIN discrepant d ON d.node = n.node"))
