@@ -1,6 +1,8 @@
 """Traps of the domain on tiny frames, and the registered queries' contract."""
 
 import datetime as dt
+import json
+import os
 import random
 
 import numpy as np
@@ -125,7 +127,7 @@ def test_two_notions_of_the_month_before(spark):
     m = spark.createDataFrame([(202001, D(2020, 1), "t", 10), (202003, D(2020, 3), "t", 20), (202101, D(2021, 1), "t", 5)], "period_id int, month date, territory_id string, lines long")
     by = {r.period_id: r for r in facts.calendar_offset_join(m).collect()}
     assert by[202003].prev_month is None and by[202101].prev_year == 10 and by[202101].pct_year == -50.0
-    assert {r.period_id: r.diff for r in compliance.month_diff(m, "lines", "period_id").collect()} == {202001: None, 202003: 10, 202101: -15}
+    assert {r.period_id: r.diff for r in compliance.month_diff(m, "lines", "period_id", ["territory_id"]).collect()} == {202001: None, 202003: 10, 202101: -15}
 
 
 def test_variation_and_churn(spark):
@@ -152,24 +154,93 @@ def test_conflict_classes(spark):
     assert got == [("A", "a", "DESCARTAR_LEGADO", "CONFIRMADO_AUTOMATICO"), ("B", None, "SIN_CONFLICTO_NO_COEXISTEN", "CONFIRMADO_AUTOMATICO"), ("B", None, "REVISION_MANUAL", "PENDIENTE"), ("C", None, "REVISION_MANUAL", "PENDIENTE")]
 
 
-def test_point_in_polygon_with_a_hole_and_borders():
+def test_points_in_polygons_with_holes_and_borders():
     outer, hole = np.array([[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]], float), np.array([[1, 1], [2, 1], [2, 2], [1, 2], [1, 1]], float)
-    p = [[outer, hole]]
-    assert geometry.covers(0.5, 0.5, p) and geometry.covers(0, 2, p) and geometry.covers(1, 1.5, p) and not geometry.covers(1.5, 1.5, p) and not geometry.covers(5, 2, p)
+    x, y = np.array([0.5, 0, 1, 1.5, 5]), np.array([0.5, 2, 1.5, 1.5, 2])
+    assert geometry.covers(x, y, [[outer, hole]]).tolist() == [True, True, True, False, False]
     line = np.array([[0, 0], [1, 0.001], [2, 0], [2, 2], [0, 2], [0, 0]], float)
     assert len(geometry.simplify_ring(line, 0.01)) == 5 and len(geometry.simplify_ring(line, 0.0001)) == 6
 
 
+def test_parishes_of_every_shape(spark):
+    """A square and an L that share a border, a hole, two polygons, and a code that is no number, against a ray cast point by point."""
+    shapes = {
+        "000001": [[[(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]]], "000002": [[[(2, 0), (4, 0), (4, 1), (3, 1), (3, 2), (2, 2), (2, 0)]]],
+        "000003": [[[(0, 2), (2, 2), (2, 4), (0, 4), (0, 2)], [(0.5, 2.5), (1.5, 2.5), (1.5, 3.5), (0.5, 3.5), (0.5, 2.5)]]],
+        "ISLA": [[[(2, 2), (3, 2), (3, 3), (2, 3), (2, 2)]], [[(3.5, 3.5), (4, 3.5), (4, 4), (3.5, 3.5)]]],
+    }
+    rows = [(c, json.dumps({"type": "MultiPolygon", "coordinates": p} if len(p) > 1 else {"type": "Polygon", "coordinates": p[0]})) for c, p in shapes.items()]
+    parishes = spark.createDataFrame(rows, "parish_code string, geometry string").withColumn("polygons", nodes.parse_geojson(F.col("geometry")))
+    points = [(k, i / 4 - 0.5, j / 4 - 0.5) for k, (i, j) in enumerate((i, j) for i in range(21) for j in range(21))]
+    found = nodes.point_in_parish(spark.createDataFrame(points, "node long, longitude double, latitude double"), parishes, cell=0.7, parts=3)
+
+    def inside(x, y, rings):
+        odd = False
+        for ring in rings:
+            for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+                if (bx - ax) * (y - ay) == (by - ay) * (x - ax) and min(ax, bx) <= x <= max(ax, bx) and min(ay, by) <= y <= max(ay, by):
+                    return True
+                if (ay > y) != (by > y) and x < ax + (y - ay) * (bx - ax) / (by - ay):
+                    odd = not odd
+        return odd
+
+    want = {k: min((c for c, p in shapes.items() if any(inside(x, y, r) for r in p)), default=None) for k, x, y in points}
+    assert {r.node: r.parish_code for r in found.collect()} == {k: c for k, c in want.items() if c}
+    assert [r.parish_code for r in nodes.nonstandard_codes(parishes.withColumns({"canton_code": F.lit("0001"), "province_code": F.lit("01")})).collect()] == ["ISLA"]
+
+
+def test_mart_check_rows_are_the_rows_that_break_a_check(spark):
+    split = facts.split_measures()
+    fact = spark.createDataFrame(
+        [(202001, D(2020, 1), "a", "g", *[1 if c in ("lines", "lines_reported") or c.startswith(("dl_no_data", "ul_no_data")) and not c.endswith("imputed") else 0 for c in split]), (202001, D(2020, 1), "b", "g", *[2] * len(split))],
+        "period_id int, month date, provider_id string, geography_id string, " + ", ".join(f"{c} long" for c in split),
+    )
+    share = spark.createDataFrame([(202001, "t", "a", True, 60.0, 1.0, 50.0), (202001, "t", "b", False, 30.0, 1.0, 101.0)], "period_id int, territory_id string, provider_id string, has_reported boolean, share_pct double, hhi_term double, coverage_pct double")
+    hhi = spark.createDataFrame([(202001, "t", 10001.0, 5.0, 4.0), (202002, "t", 10000.0, 4.0, 5.0)], "period_id int, territory_id string, hhi double, cr2 double, cr4 double")
+    market = spark.createDataFrame([(202001, "t", 1, 1, 1, 4)], "period_id int, territory_id string, n_positive int, n_zero int, n_no_data int, n_providers int")
+    rows = quality.mart_check_rows(fact, share, hhi, market).collect()
+    assert sorted((r.check, r.provider_id) for r in rows) == [
+        ("bands_sum_to_lines", "b"), ("coverage_in_range", "b"), ("cr2_cr4_ordered", None), ("hhi_in_range", None), ("no_share_without_report", "b"),
+        ("provider_counts_add_up", None), ("reported_and_imputed_sum", "b"), ("shares_sum_to_100", None),
+    ]
+    assert json.loads(next(r for r in rows if r.check == "hhi_in_range").detail) == {"cr2": 5.0, "cr4": 4.0, "hhi": 10001.0, "period_id": 202001, "territory_id": "t"}
+    assert {r.check: r.n_bad for r in quality.mart_checks(fact, share, hhi, market).collect()} == {r.check: 1 for r in rows}
+
+
+def test_plans_compile(spark, capfd):
+    """Coordinates under a filter, and facts with their many measures: no plan falls back to interpreted code."""
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        for name in ("point_in_parish", "resolve_licences", "hhi"):
+            registry.queries()[name](spark, "/root/testdata/sf0.001").collect()
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+
+
 def test_sources_and_sinks(spark, tmp_path):
     path = f"{tmp_path}/summary"
     rows = lambda *r: spark.createDataFrame(list(r), "licence string, share_level string, year int, lines long")
     tables.upsert_summary(spark, path, rows(("a", None, 2020, 1), ("b", "x", 2021, 1)), ["licence", "share_level", "year"], ["year"])
     for _ in range(2):
         tables.upsert_summary(spark, path, rows(("a", None, 2020, 9)), ["licence", "share_level", "year"], ["year"])
-    assert {(r.licence, r.lines) for r in spark.read.parquet(path).collect()} == {("a", 9), ("b", 1)}
+    got = lambda back=0: sorted((r.licence, r.year, r.lines) for r in tables.read_summary(spark, path, back).collect())
+    assert got() == [("a", 2020, 9), ("b", 2021, 1)] and got(2) == [("a", 2020, 1), ("b", 2021, 1)]
+    for _ in range(2):  # a null partition is replaced like any other; others stay where they are
+        tables.upsert_summary(spark, path, spark.createDataFrame([("n", "y", None, 5), ("b", "x", 2021, 7)], "licence string, share_level string, year int, lines long"), ["licence", "share_level", "year"], ["year"])
+    assert sorted(r.lines for r in tables.read_summary(spark, path).collect()) == [5, 7, 9]
+    assert not os.path.exists(f"{path}/data/batch=3/year=2020") and os.path.exists(f"{path}/data/batch=3/year=2021")
+    with pytest.raises(ValueError, match="2 rows of the key"):
+        tables.upsert_summary(spark, path, rows(("a", None, 2020, 1), ("a", None, 2020, 2)), ["licence", "share_level", "year"], ["year"])
+    codes = f"{tmp_path}/codes"
+    for lines in (1, 2):
+        tables.upsert_summary(spark, codes, spark.createDataFrame([("01", lines)], "code string, lines long"), ["code"], ["code"])
+    assert [(r.code, r.lines) for r in tables.read_summary(spark, codes).collect()] == [("01", 2)]
     pub = f"{tmp_path}/pub"
     tables.publish_with_previous(spark, rows(("a", None, 1, 1)), pub), tables.publish_with_previous(spark, rows(("b", None, 1, 1)), pub)
     assert tables.read_published(spark, pub).first().licence == "b" and tables.read_published(spark, pub, 1).first().licence == "a"
+    os.makedirs(f"{pub}/version=2/half")  # begun and never finished
+    assert tables.publish_with_previous(spark, rows(("c", None, 1, 1)), pub).endswith("version=3")
+    assert tables.read_published(spark, pub).first().licence == "c" and tables.read_published(spark, pub, 1).first().licence == "b"
     tables.append_load_log(spark, f"{tmp_path}/log", "year", 2020, 5, "ok")
     assert spark.read.parquet(f"{tmp_path}/log").count() == 1
     built = []
@@ -188,7 +259,7 @@ def test_stream_of_batches_upserts(spark, tmp_path):
     for k, lines in enumerate((1, 2)):
         spark.createDataFrame([("a", 2020, lines)], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         loads.upsert_available(spark, f"{tmp_path}/in", schema, f"{tmp_path}/out", f"{tmp_path}/cp", ["licence", "year"], ["year"])
-        assert [r.lines for r in spark.read.parquet(f"{tmp_path}/out").collect()] == [lines]
+        assert [r.lines for r in tables.read_summary(spark, f"{tmp_path}/out").collect()] == [lines]
 
 
 def test_flagship_is_sound(spark):
