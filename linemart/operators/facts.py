@@ -49,10 +49,14 @@ def split_measures() -> list[str]:
     return [*MEASURES, *(f"{c}_reported" for c in base), *(f"{c}_imputed" for c in base)]
 
 
+#: The states of a group of licences.
+SINGLE, NO_DATA, SAME, ADDED_UP = "UN_SOLO_PEVA", "TODOS_SIN_DATO", "PEVA_DUPLICADOS_MISMO_VALOR_O_UNICO", "PEVA_VALORES_DIFERENTES_SUMADOS"
+
+
 def resolution_state(n: Column, with_data: Column, distinct: Column) -> Column:
     return (
-        F.when(n == 1, "UN_SOLO_PEVA").when(with_data == 0, "TODOS_SIN_DATO")
-        .when(distinct <= 1, "PEVA_DUPLICADOS_MISMO_VALOR_O_UNICO").otherwise("PEVA_VALORES_DIFERENTES_SUMADOS")
+        F.when(n == 1, SINGLE).when(with_data == 0, NO_DATA)
+        .when(distinct <= 1, SAME).otherwise(ADDED_UP)
     )
 
 
@@ -70,7 +74,7 @@ def resolve_licences(per_licence: DataFrame) -> DataFrame:
     )
     distinct = F.when(F.col("_with") == 0, 0).when(F.col("_low") == F.col("_high"), 1).otherwise(2)
     stated = grouped.withColumn("state", resolution_state(F.col("n_licences"), F.col("_with"), distinct))
-    add = F.col("state") == "PEVA_VALORES_DIFERENTES_SUMADOS"
+    add = F.col("state") == ADDED_UP
     return stated.select(
         *FACT_KEY, "n_licences", "state", *[F.when(add, F.col(f"_sum_{c}")).otherwise(F.col(f"_max_{c}")).alias(c) for c in names],
         "has_reported", "has_imputed",

@@ -70,6 +70,12 @@ def pairs_coexist(pairs: DataFrame, months: DataFrame) -> DataFrame:
     return pairs.join(met.withColumn("_met", F.lit(True)), ["licence_a", "licence_b"], "left").withColumn("coexist", F.coalesce("_met", F.lit(False))).drop("_met")
 
 
+#: Classes of conflicts between licences of one tax id, what to do about them, and states of their review.
+MIGRATED, SAME_HOLDER, OTHER_NAMES = "A_DUPLICADO_MIGRACION_CODIFICACION", "B_SECUENCIA_MISMO_TITULAR", "C_NOMBRES_DISTINTOS_MISMO_RUC"
+DISCARD, NO_CONFLICT, BY_HAND = "DESCARTAR_LEGADO", "SIN_CONFLICTO_NO_COEXISTEN", "REVISION_MANUAL"
+CONFIRMED, PENDING = "CONFIRMADO_AUTOMATICO", "PENDIENTE"
+
+
 def _legacy(status: Column) -> Column:
     return F.upper(F.regexp_replace(F.coalesce(status, F.lit("")), r"^\s+|\s+$", "")).isin(LEGACY_STATES)
 
@@ -84,10 +90,10 @@ def classify_conflict(pairs: DataFrame) -> DataFrame:
     is_a = exact & (old_a != old_b)
     apart = holder & ~F.col("coexist")
     return pairs.withColumns({
-        "category": F.when(is_a, "A_DUPLICADO_MIGRACION_CODIFICACION").when(holder, "B_SECUENCIA_MISMO_TITULAR").otherwise("C_NOMBRES_DISTINTOS_MISMO_RUC"),
+        "category": F.when(is_a, MIGRATED).when(holder, SAME_HOLDER).otherwise(OTHER_NAMES),
         "discarded_licence": F.when(is_a, F.when(old_a, F.col("licence_a")).otherwise(F.col("licence_b"))),
-        "action": F.when(is_a, "DESCARTAR_LEGADO").when(apart, "SIN_CONFLICTO_NO_COEXISTEN").otherwise("REVISION_MANUAL"),
-        "review_state": F.when(is_a | apart, "CONFIRMADO_AUTOMATICO").otherwise("PENDIENTE"),
+        "action": F.when(is_a, DISCARD).when(apart, NO_CONFLICT).otherwise(BY_HAND),
+        "review_state": F.when(is_a | apart, CONFIRMED).otherwise(PENDING),
     })
 
 
