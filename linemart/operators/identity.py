@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linemart.functions.columns import LEGACY_STATES, assign_geography_id, assign_period_id, assign_provider_id, blank_to_null, clean_tax_id, is_test_provider
@@ -45,9 +45,27 @@ def geography(rows: DataFrame) -> Column:
     return assign_geography_id(rows["province_code"], rows["canton_code"], rows["parish_code"], rows["parish_code"])
 
 
+def known_reporters(reports: DataFrame) -> DataFrame:
+    """(licence, own, is_test, latest) for each licence and cleaned tax id that reported: whether a test name takes the pair
+    out by tax id or by licence, and the latest tax id that the licence ever had. Few rows, made in one pass over the reports."""
+    pairs = reports.filter(blank_to_null(F.col("licence")).isNotNull()).groupBy("licence", clean_tax_id(F.col("tax_id_raw")).alias("own")).agg(
+        F.max("month").alias("last"), F.bool_or(is_test_provider(F.col("provider_name"))).alias("named")
+    )
+    by_tax = F.col("own").isNotNull() & F.bool_or("named").over(Window.partitionBy("own"))
+    by_licence = F.bool_or("named").over(Window.partitionBy(F.trim("licence")))
+    latest = F.max(F.when(F.col("own").isNotNull() & F.col("last").isNotNull(), F.struct("last", "own"))).over(Window.partitionBy("licence"))
+    return pairs.select("licence", "own", (by_tax | by_licence).alias("is_test"), latest["own"].alias("latest"))
+
+
 def normalise(rows: DataFrame, reports: DataFrame | None = None) -> DataFrame:
-    """Valid rows without test providers, with tax_id, provider_id, geography_id and period_id."""
-    resolved = resolve_tax_id(exclude_test_providers(valid_source_rows(rows), reports), reports)
+    """Valid rows without test providers, with tax_id, provider_id, geography_id and period_id.
+
+    As `exclude_test_providers` and `resolve_tax_id` say, by one join with the distinct reporters of `reports` (of the rows if not given).
+    """
+    valid = valid_source_rows(rows).withColumn("_own", clean_tax_id(F.col("tax_id_raw")))
+    known = known_reporters(valid if reports is None else reports).select(F.col("licence").alias("_l"), F.col("own").alias("_o"), "is_test", "latest")
+    joined = valid.join(known, (F.col("licence") == F.col("_l")) & F.col("_own").eqNullSafe(F.col("_o")), "left").filter(~F.coalesce("is_test", F.lit(False)))
+    resolved = joined.withColumn("tax_id", F.coalesce("_own", "latest")).drop("_own", "_l", "_o", "is_test", "latest")
     return resolved.withColumns({
         "provider_id": assign_provider_id(F.col("tax_id"), F.col("licence")),
         "geography_id": geography(resolved),

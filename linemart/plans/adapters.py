@@ -70,8 +70,8 @@ class Mart:
 
     @cached_property
     def reporters(self) -> DataFrame:
-        """What each licence reported about itself, by month: few rows, of which names and tax ids are looked up."""
-        return self.detail.select("licence", "month", "tax_id_raw", "provider_name").distinct()
+        """What each licence reported about itself: names and tax ids are looked up in it, not in the rows that gap filling makes."""
+        return self.detail.select("licence", "month", "tax_id_raw", "provider_name")
 
     @cached_property
     def consolidated(self) -> DataFrame:
@@ -92,8 +92,7 @@ class Mart:
     @cached_property
     def geographies(self) -> DataFrame:
         named = self.detail.select("licence", "month", "tax_id_raw", "provider_name", *dims.GEOGRAPHY).distinct()  # gap filling carries names and adds none
-        real = identity.exclude_test_providers(identity.valid_source_rows(named), self.reporters)
-        return dims.geography_dimension(real.withColumn("geography_id", identity.geography(real)))
+        return dims.geography_dimension(identity.normalise(named, self.reporters))
 
     @cached_property
     def bridge(self) -> DataFrame:

@@ -207,6 +207,23 @@ def test_mart_check_rows_are_the_rows_that_break_a_check(spark):
     assert {r.check: r.n_bad for r in quality.mart_checks(fact, share, hhi, market).collect()} == {r.check: 1 for r in rows}
 
 
+def test_normalise_equals_its_two_steps(spark):
+    """Test names that take out a tax id or a licence, blanks, null months and licences, against exclusion and resolution one after the other."""
+    r = random.Random(4)
+    rows = [
+        (r.choice(["a", " a", "b", "c", "d", "", None]), r.choice([None, "1-1", "11", "2", "x", "3"]), r.choice(["n", "Prueba", None, "m", "o", "p"]) if k % 3 == 0 else "n", r.choice([None, D(2020, 1), D(2020, 2), D(2021, 1)]), str(k))
+        for k in range(40)
+    ]
+    geo = "province_code string, canton_code string, parish_code string"
+    for reports in (rows[::2], rows):
+        df, told = (spark.createDataFrame([(*x, "1", "2", "3") for x in y], "licence string, tax_id_raw string, provider_name string, month date, id string, " + geo) for y in (rows, reports))
+        told = identity.valid_source_rows(told)
+        for used, base in ((None, df), (told, told)):
+            left = identity.resolve_tax_id(identity.exclude_test_providers(identity.valid_source_rows(base), used), used)
+            got = {(x.id, x.tax_id) for x in identity.normalise(base, used).collect()}
+            assert got == {(x.id, x.tax_id) for x in left.collect()}
+
+
 def test_plans_compile(spark, capfd):
     """Coordinates under a filter, and facts with their many measures: no plan falls back to interpreted code."""
     spark.conf.set("spark.sql.codegen.fallback", "false")
