@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linemart.llm import html_wrapper, mixing, quality_rules, secret_scan, sentencepiece_sa, simhash_golay, substring_dedup, topk, url_filter, warc
+from linemart.llm import centroids, filter_audit, html_wrapper, mixing, packing, quality_rules, secret_scan, sentencepiece_sa, simhash_golay, substring_dedup, topk, url_filter, warc
 from linemart.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,13 +169,79 @@ FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec
 """
 
 
+def op11_centroid_bisectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, found = centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    digest = F.sha2(F.array_join(F.transform("centroid", lambda v: v.cast("string")), ","), 256)
+    total = F.sum("inertia").over(Window.partitionBy())  # of one row for each centroid
+    named = found.select("cluster", F.col("inertia").alias("cluster_inertia"), total.alias("inertia"), digest.alias("centroid_sha256"))
+    return assigned.join(F.broadcast(named), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _op11_sql(rounds: int = 3) -> str:
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS (SELECT n, arg_min(j, struct_pack(d := d, j := j))::INT AS cluster, min(d)::BIGINT AS distance
+        FROM (SELECT n, j, list_sum(list_transform(list_zip(e, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM v, c{r}) GROUP BY n)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS (SELECT cluster, p, sum(x)::BIGINT AS s, count(*)::BIGINT AS k FROM (SELECT cluster, unnest(e) AS x, unnest(range(64)) AS p FROM v JOIN a{r} USING (n)) GROUP BY cluster, p),
+f{r} AS (SELECT cluster, list((s - ((s % k) + k) % k) // k ORDER BY p) AS c FROM m{r} GROUP BY cluster),
+c{r + 1} AS (SELECT j, coalesce(f{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN f{r} ON j = cluster)""")
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+           WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT (row_number() OVER (ORDER BY h NULLS LAST, e) - 1)::INT AS j, e AS c FROM (SELECT sha256('1:' || vec_id) AS h, e FROM v) ORDER BY h NULLS LAST, e LIMIT 16),
+{','.join(steps)}
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (n) JOIN c{rounds} ON j = cluster
+"""
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.tokenize(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path or public_tokenizers.path("byte_bpe_50k.json"))
+    packed = packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return filter_audit.audit(docs, labels)
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+              regexp_matches(t, '[#$%&*|]'), coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)] AS bad
+      FROM d LEFT JOIN g USING (doc_id)),
+c AS (SELECT part, bad, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+l AS (SELECT * FROM (VALUES (1), (2), (3), (4), (5)) AS v(x)),
+o AS (SELECT [a.x, b.x, c.x, d.x, e.x] AS p FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT p, array_to_string(list_transform(p, lambda i: 'ABCDE'[i]), '') AS filter_order, unnest(range(1, 6))::INT AS step FROM o),
+r AS (SELECT part, filter_order, step, p[step] AS own, n, good, toxic, bad[p[step]] AS fails,
+             len(list_filter(list_slice(p, 1, step - 1), lambda i: bad[i])) > 0 AS gone, len(list_filter(bad, lambda x: x)) = 1 AS single
+      FROM c, s),
+u AS (SELECT part, filter_order, step, own, sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+             sum(CASE WHEN fails AND gone THEN n ELSE 0 END)::BIGINT AS redundant, sum(CASE WHEN fails AND single THEN n ELSE 0 END)::BIGINT AS unique_fails,
+             sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+      FROM r GROUP BY ALL)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM u
+"""
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_url_filter, op2_secret_scan, op3_sentencepiece, op4_substring_dedup, op5_simhash_golay,
         op6_temperature_mix, op7_quality_cascade, op8_html_wrapper, op9_warc_chunks, op10_threshold_topk,
+        op11_centroid_bisectors, op12_best_fit_packing, op13_filter_audit,
     ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_substring_dedup": OP4_SQL, "op6_temperature_mix": _op6_sql(), "op7_quality_cascade": OP7_SQL, "op9_warc_chunks": OP9_SQL, "op10_threshold_topk": OP10_SQL}
+    return {"op4_substring_dedup": OP4_SQL, "op6_temperature_mix": _op6_sql(), "op7_quality_cascade": OP7_SQL, "op9_warc_chunks": OP9_SQL, "op10_threshold_topk": OP10_SQL} | {"op11_centroid_bisectors": _op11_sql(), "op13_filter_audit": OP13_SQL}
