@@ -9,30 +9,22 @@ from pyspark.sql import functions as F
 
 from linemart.functions import columns as C
 from linemart.operators import geometry
+from linemart.operators.boundaries import dissolve
+from linemart.operators.held import once
 
 RINGS = "array<array<array<double>>>"
 POLYGONS = f"array<{RINGS}>"
 
 
-def _held(out: DataFrame, **columns: Column) -> DataFrame:
-    """out with columns that are computed once: an array of one struct, exploded, which no condition on them passes.
-
-    Else a filter on coordinates takes the whole chain of expressions below itself, many times over, until the
-    generated code is too large to compile.
-    """
-    made = F.explode(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
-    return out.select("*", made.alias("_held")).select(*[c for c in out.columns if c not in columns], "_held.*")
-
-
 def clean_coordinates(nodes: DataFrame) -> DataFrame:
     """nodes (latitude_text, longitude_text) with decimals if valid, `is_valid`, `west_inferred` and the reasons."""
     lat, lon = F.col("latitude_text"), F.col("longitude_text")
-    out = _held(nodes, _nlat=C.dms_numbers(lat), _nlon=C.dms_numbers(lon))
-    out = _held(out, _rlat=C.dms_reason(lat, F.col("_nlat")), _rlon=C.dms_reason(lon, F.col("_nlon"))).withColumn("_raw", C.dms_to_decimal(lon, F.col("_nlon"), F.col("_rlon")))
-    out = _held(out, _lat=C.dms_to_decimal(lat, F.col("_nlat"), F.col("_rlat")), _lon=C.infer_west_longitude(lon, F.col("_raw")), west_inferred=C.west_inferred(lon, F.col("_raw")))
+    out = once(nodes, _nlat=C.dms_numbers(lat), _nlon=C.dms_numbers(lon))
+    out = once(out, _rlat=C.dms_reason(lat, F.col("_nlat")), _rlon=C.dms_reason(lon, F.col("_nlon"))).withColumn("_raw", C.dms_to_decimal(lon, F.col("_nlon"), F.col("_rlon")))
+    out = once(out, _lat=C.dms_to_decimal(lat, F.col("_nlat"), F.col("_rlat")), _lon=C.infer_west_longitude(lon, F.col("_raw")), west_inferred=C.west_inferred(lon, F.col("_raw")))
     out = out.withColumn("_range", C.range_reason(F.col("_lat"), F.col("_lon")))
     valid = F.col("_range").isNull()
-    out = _held(
+    out = once(
         out, is_valid=valid, latitude=F.when(valid, F.col("_lat")), longitude=F.when(valid, F.col("_lon")), reasons=C.all_reasons(F.col("_rlat"), F.col("_rlon"), F.col("_range"))
     )
     return out.drop("_nlat", "_nlon", "_rlat", "_rlon", "_raw", "_lat", "_lon", "_range")
@@ -124,12 +116,12 @@ def territory_bounds(territories: DataFrame, provinces: list[str] = (), cantons:
 
 
 def boundary_rollup(boundaries: DataFrame, level: str) -> DataFrame:
-    """One multipolygon for each canton or province: all polygons of its parishes, their box, and the first name."""
-    return with_box(boundaries).groupBy(f"{level}_code").agg(
+    """One shape for each canton or province, its parishes without the borders between them, with their box and first name."""
+    named = with_box(boundaries).groupBy(f"{level}_code").agg(
         F.min(f"{level}_name").alias("name"), F.count("*").alias("n_parishes"),
-        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("parish_code", "polygons"))), lambda x: x["polygons"])).alias("polygons"),
         F.min("min_x").alias("min_x"), F.min("min_y").alias("min_y"), F.max("max_x").alias("max_x"), F.max("max_y").alias("max_y"),
     )
+    return named.join(dissolve(boundaries, [f"{level}_code"]), f"{level}_code", "left")
 
 
 def vertex_count(polygons: str = "polygons") -> Column:
@@ -137,11 +129,15 @@ def vertex_count(polygons: str = "polygons") -> Column:
 
 
 def simplify_boundary(boundaries: DataFrame, tolerance: float) -> DataFrame:
-    """boundaries with simplified polygons and the number of vertices before and after."""
+    """boundaries with simplified polygons, valid if they were, and the number of vertices before and after."""
 
     @F.pandas_udf(POLYGONS)
     def simple(polygons: pd.Series) -> pd.Series:
-        one = lambda ring: geometry.simplify_ring(np.array([list(p) for p in ring], float), tolerance).tolist()
-        return polygons.map(lambda ps: None if ps is None else [[one(r) for r in rings] for rings in ps])
+        def one(parts):
+            rings = [np.array([list(p) for p in ring], float).reshape(-1, 2) for rings in parts for ring in rings]
+            made = iter(geometry.simplify_rings(rings, tolerance))
+            return [[next(made).tolist() for _ in rings] for rings in parts]
+
+        return polygons.map(lambda parts: None if parts is None else one(parts))
 
     return boundaries.withColumn("n_before", vertex_count()).withColumn("polygons", simple("polygons")).withColumn("n_after", vertex_count())

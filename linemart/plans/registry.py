@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linemart.functions import columns as C
+from linemart.operators import boundaries as boundary
 from linemart.operators import compliance, concentration, dims, facts, gapfill, identity, nodes, quality, scd
 from linemart.plans import oracle
 from linemart.plans.adapters import ATTRIBUTES, NATURAL_KEY, SERIES, Mart
@@ -317,20 +318,33 @@ NODE = {
     "parish_code": "lpad(CAST(c_nationkey AS STRING), 6, '0')", "reported_canton": "CASE WHEN c_custkey % 6 = 0 THEN ' ' ELSE lpad(CAST(c_nationkey AS STRING), 4, '0') END",
     "latitude_text": LAT, "longitude_text": LON,
 }
-#: Corners of the parish shapes by number modulo 4: a square, an L, a square with a hole, and two strips. Coordinates count from the cell's corner.
+#: Corners of the parish shapes by number modulo 4: a square, an L, a square with a hole, and two strips. Coordinates are parts of the cell's side.
 SHAPES = [
     [[[(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]]],
     [[[(0, 0), (1, 0), (1, 0.45), (0.45, 0.45), (0.45, 1), (0, 1), (0, 0)]]],
     [[[(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)], [(0.25, 0.25), (0.75, 0.25), (0.75, 0.75), (0.25, 0.75), (0.25, 0.25)]]],
     [[[(0, 0), (0.35, 0), (0.35, 1), (0, 1), (0, 0)]], [[(0.65, 0), (1, 0), (1, 1), (0.65, 1), (0.65, 0)]]],
 ]
-IN_SHAPE = "CASE k % 4 WHEN 1 THEN NOT (longitude > x + 0.45 AND latitude > y + 0.45) WHEN 2 THEN NOT (longitude > x + 0.25 AND longitude < x + 0.75 AND latitude > y + 0.25 AND latitude < y + 0.75) WHEN 3 THEN NOT (longitude > x + 0.35 AND longitude < x + 0.65) ELSE true END"
-CORNERS = "CASE k % 4 WHEN 0 THEN 5 WHEN 1 THEN 7 ELSE 10 END"
+IN_SHAPE = (
+    "CASE k % 4 WHEN 1 THEN NOT (longitude > x + CAST(0.45 AS DOUBLE) * s AND latitude > y + CAST(0.45 AS DOUBLE) * s) WHEN 2 THEN NOT (longitude > x + CAST(0.25 AS DOUBLE) * s AND longitude < x + CAST(0.75 AS DOUBLE) * s "
+    "AND latitude > y + CAST(0.25 AS DOUBLE) * s AND latitude < y + CAST(0.75 AS DOUBLE) * s) WHEN 3 THEN NOT (longitude > x + CAST(0.35 AS DOUBLE) * s AND longitude < x + CAST(0.65 AS DOUBLE) * s) ELSE true END"
+)
+CORNERS, AREA = "CASE k % 4 WHEN 0 THEN 5 WHEN 1 THEN 7 ELSE 10 END", "CASE k % 4 WHEN 0 THEN 1 WHEN 1 THEN 0.6975 WHEN 2 THEN 0.75 ELSE 0.7 END"
+#: Parishes are cells of a square grid over the nodes' box, one for each supplier: k of n; the grid is as wide as the next power of two.
+WIDE = "CASE " + " ".join(f"WHEN n <= {4**q} THEN {2**q}" for q in range(16)) + " END"
+CELL = {"i": "k % w", "j": "k DIV w", "s": "CAST(5 AS DOUBLE) / w", "x": "-80 + k % w * (CAST(5 AS DOUBLE) / w)", "y": "-4 + k DIV w * (CAST(5 AS DOUBLE) / w)"}
+_code = lambda e, n: f"lpad(CAST({e} AS STRING), greatest({n}, length(CAST({e} AS STRING))::INT), '0')"
+CODES = {
+    "parish_code": _code("k", 6), "parish_name": "'P' || CAST(k AS STRING)", "canton_code": _code("(j DIV 2 * w + i DIV 2)", 4), "canton_name": "'K' || CAST(j DIV 2 * w + i DIV 2 AS STRING)",
+    "province_code": _code("(j * 4 DIV w * 4 + i * 4 DIV w)", 2), "province_name": "'R' || CAST(j * 4 DIV w * 4 + i * 4 DIV w AS STRING)",
+}
+#: A vertex on the lower border of parish k for each of its customers, of which there are cn in all.
+EDGE = "CAST(0.35 AS DOUBLE) * (CAST(5 AS DOUBLE) / w) * (c_custkey DIV n + CAST(0.5 AS DOUBLE)) / (cn DIV n + 2)"
 
 
 def _shape_text(shape: list) -> str:
     """SQL of a shape's GeoJSON; after the first corner come the points `edge` of the lower border."""
-    point = lambda p: f"concat('[', x + CAST({p[0]} AS DOUBLE), ',', y + CAST({p[1]} AS DOUBLE), ']')"
+    point = lambda p: f"concat('[', x + CAST({p[0]} AS DOUBLE) * s, ',', y + CAST({p[1]} AS DOUBLE) * s, ']')"
     polygons = []
     for n, rings in enumerate(shape):
         made = []
@@ -349,17 +363,48 @@ def node_rows(m: Mart) -> DataFrame:
     return m.table("customer").selectExpr(*[f"{e} AS {n}" for n, e in NODE.items()])
 
 
+def sized(m: Mart) -> DataFrame:
+    """One row: the numbers of suppliers and customers, and the width of the grid."""
+    counted = m.table("supplier").agg(F.count("*").alias("n")).crossJoin(m.table("customer").agg(F.count("*").alias("cn")))
+    return counted.selectExpr("n", "cn", f"{WIDE} AS w")
+
+
 def boundaries(m: Mart) -> DataFrame:
-    """A parish for each nation, in four shapes; its lower border has a vertex for each place of a supplier, so vertices grow with the tables."""
-    places = m.table("supplier").selectExpr("s_nationkey", "0.35 * ((s_suppkey % 997) + 0.5D) / 1000 AS e")
-    edges = places.groupBy("s_nationkey").agg(F.sort_array(F.collect_set("e")).alias("edge"))
-    cells = m.table("nation").selectExpr("*", "n_nationkey AS k", "CAST(n_nationkey % 5 - 80 AS INT) AS x", "CAST(n_nationkey DIV 5 - 4 AS INT) AS y")
-    cells = cells.join(edges, F.col("n_nationkey") == F.col("s_nationkey"), "left").withColumn("edge", F.coalesce("edge", F.array().cast("array<double>")))
+    """A parish for each supplier, in four shapes, with a vertex on its lower border for each of its customers: both follow the tables."""
+    cells = m.table("supplier").selectExpr("s_suppkey AS k").crossJoin(F.broadcast(sized(m))).selectExpr("*", *[f"{e} AS {c}" for c, e in CELL.items()])
+    places = m.table("customer").select("c_custkey").crossJoin(F.broadcast(sized(m))).selectExpr("c_custkey % n AS k", f"{EDGE} AS e")
+    edges = places.groupBy("k").agg(F.sort_array(F.collect_set("e")).alias("edge"))
+    cells = cells.join(edges, "k", "left").withColumn("edge", F.coalesce("edge", F.array().cast("array<double>")))
     text = "CASE k % 4 " + " ".join(f"WHEN {k} THEN {_shape_text(shape)}" for k, shape in enumerate(SHAPES)) + " END AS geometry"
-    rows = cells.selectExpr("lpad(CAST(n_nationkey AS STRING), 6, '0') AS parish_code", "n_name AS parish_name", "lpad(CAST(n_nationkey DIV 2 AS STRING), 4, '0') AS canton_code", "'K' || CAST(n_nationkey DIV 2 AS STRING) AS canton_name", "lpad(CAST(n_regionkey AS STRING), 2, '0') AS province_code", "'R' || CAST(n_regionkey AS STRING) AS province_name", text)
+    rows = cells.selectExpr("k", *[f"{e} AS {c}" for c, e in CODES.items()], text)
     return rows.withColumn("polygons", nodes.parse_geojson(F.col("geometry")))
 
 
+def coasts(m: Mart) -> DataFrame:
+    """A square for each supplier whose lower border has a tooth for each customer: every third stands out, the others are flatter than a tolerance of 0.001."""
+    teeth = m.table("customer").select("c_custkey").crossJoin(F.broadcast(sized(m))).selectExpr("c_custkey % n AS k", "c_custkey DIV n AS t", "(c_custkey DIV n + 0.5D) / (cn DIV n + 2) AS e", "0.4D / (cn DIV n + 2) AS d", "IF(c_custkey DIV n % 3 = 0, 0.02D, 0.0004D) AS h")
+    at = teeth.groupBy("k").agg(F.expr("flatten(transform(sort_array(collect_list(struct(t, e, d, h))), v -> array(array(v.e, 0D), array(v.e, v.h), array(v.e + v.d, v.h), array(v.e + v.d, 0D))))").alias("edge"))
+    squares = m.table("supplier").selectExpr("s_suppkey AS k").join(at, "k", "left").withColumn("edge", F.coalesce("edge", F.array().cast("array<array<double>>")))
+    ring = "transform(concat(array(array(0D, 0D)), edge, array(array(1D, 0D), array(1D, 1D), array(0D, 1D), array(0D, 0D))), p -> array(p[0] + k % 1000 * 2, p[1] + k DIV 1000 * 2))"
+    return squares.selectExpr(f"{_code('k', 6)} AS parish_code", f"array(array({ring})) AS polygons")
+
+
+#: A ring or two for each kind of mistake, by parish number modulo 12, in parts of a unit square; other parishes are as they are.
+MISTAKES = {
+    1: ("rings_cross", "[[[[0,0],[1,1],[1,0],[0,1],[0,0]]]]"), 2: ("hole_outside", "[[[[0,0],[1,0],[1,1],[0,1],[0,0]],[[2,2],[3,2],[3,3],[2,3],[2,2]]]]"), 3: ("too_few_points", "[[[[0,0],[1,0],[0,0]]]]"),
+    4: ("parts_overlap", "[[[[0,0],[9,0],[9,9],[0,9],[0,0]]],[[[1,1],[2,1],[2,2],[1,2],[1,1]]]]"), 5: ("no_polygon", "[]"), 6: ("interior_disconnected", "[[[[0,0],[4,0],[4,4],[0,4],[0,0]],[[0,2],[2,1],[4,2],[2,3],[0,2]]]]"),
+    7: ("holes_nested", "[[[[0,0],[9,0],[9,9],[0,9],[0,0]],[[1,1],[8,1],[8,8],[1,8],[1,1]],[[2,2],[3,2],[3,3],[2,3],[2,2]]]]"), 8: ("ring_touches_itself", "[[[[0,0],[4,0],[4,4],[2,0],[0,4],[0,0]]]]"),
+    9: ("rings_cross", "[[[[0,0],[2,0],[2,2],[0,2],[0,0]],[[1,1],[3,1],[3,3],[1,3],[1,1]]]]"),
+}
+
+
+def sketched(m: Mart) -> DataFrame:
+    """Parishes of which nine in twelve are drawn with a mistake, ten times as many as suppliers."""
+    wrong = "CASE k % 12 " + " ".join(f"WHEN {k} THEN '{text}'" for k, (_, text) in MISTAKES.items()) + " END"
+    spare = m.table("customer").selectExpr("c_custkey AS k").withColumn("parish_code", F.expr(_code("k", 6)))
+    return spare.withColumn("polygons", F.from_json(F.coalesce(F.expr(wrong), F.lit("[[[[0,0],[4,0],[4,4],[0,4],[0,0]],[[4,2],[2,1],[2,3],[4,2]]],[[[4,4],[5,4],[5,5],[4,4]]]]")), nodes.POLYGONS))
+
+
 cleaned = lambda m: nodes.clean_coordinates(node_rows(m))
 located = lambda m: nodes.point_in_parish(cleaned(m), boundaries(m))
 discrepant = lambda m: nodes.node_discrepancies(cleaned(m), located(m), boundaries(m))
@@ -384,9 +429,11 @@ NODES = (
     "n2 AS (SELECT *, coalesce(raw > 0 AND NOT regexp_matches(upper(coalesce(longitude_text, '')), '[NSOEW]'), false) AS west_inferred FROM n1), n3 AS (SELECT *, CASE WHEN west_inferred THEN -raw ELSE raw END AS lo FROM n2), "
     "n4 AS (SELECT *, CASE WHEN la IS NULL OR lo IS NULL THEN 'coordenada_no_convertible' WHEN NOT la BETWEEN -5.0 AND 1.5 THEN printf('latitud_fuera_de_rango_ecuador(%.4f)', la) WHEN NOT lo BETWEEN -92.0 AND -75.0 THEN printf('longitud_fuera_de_rango_ecuador(%.4f)', lo) END AS rr FROM n3), "
     f"cleaned AS (SELECT {commas(NODE)}, west_inferred, rr IS NULL AS is_valid, CASE WHEN rr IS NULL THEN la END AS latitude, CASE WHEN rr IS NULL THEN lo END AS longitude, nullif(array_to_string(list_filter([{_reason('latitude_text')}, CASE WHEN {_reason('longitude_text')} IS DISTINCT FROM {_reason('latitude_text')} THEN {_reason('longitude_text')} END, rr], lambda x: x IS NOT NULL), '; '), '') AS reasons FROM n4), "
-    "cells AS (SELECT n_nationkey AS k, n_nationkey % 5 - 80 AS x, n_nationkey // 5 - 4 AS y, lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS parish_code, lpad(CAST(n_nationkey // 2 AS VARCHAR), 4, '0') AS canton_code, 'K' || (n_nationkey // 2) AS canton_name, lpad(CAST(n_regionkey AS VARCHAR), 2, '0') AS province_code, 'R' || n_regionkey AS province_name FROM nation), "
-    "located AS (SELECT node, min(c.parish_code) AS parish_code FROM cleaned n JOIN cells c ON longitude BETWEEN x AND x + 1 AND latitude BETWEEN y AND y + 1 AND " + IN_SHAPE + " GROUP BY node), "
-    "vertices AS (SELECT parish_code, " + CORNERS + " AS corners, (SELECT count(DISTINCT s_suppkey % 997) FROM supplier WHERE s_nationkey = k) AS placed FROM cells), "
+    f"sized AS (SELECT n, cn, {WIDE} AS w FROM (SELECT count(*) AS n FROM supplier), (SELECT count(*) AS cn FROM customer)), "
+    f"grid AS (SELECT k, n, cn, w, {', '.join(f'{duck(e)} AS {c}' for c, e in CELL.items())} FROM (SELECT s_suppkey AS k FROM supplier), sized), "
+    f"cells AS (SELECT *, {', '.join(f'{duck(e)} AS {c}' for c, e in CODES.items())} FROM grid), "
+    "located AS (SELECT node, min(c.parish_code) AS parish_code FROM cleaned n JOIN cells c ON longitude BETWEEN x AND x + s AND latitude BETWEEN y AND y + s AND " + IN_SHAPE + " GROUP BY node), "
+    "vertices AS (SELECT parish_code, " + CORNERS + " AS corners, coalesce(placed, 0) AS placed FROM cells LEFT JOIN (SELECT c_custkey % n AS k, count(*) AS placed FROM customer, sized GROUP BY 1) USING (k)), "
     "discrepant AS (SELECT node, reported_canton, l.parish_code AS derived_parish, c.canton_code AS derived_canton, c.province_code AS derived_province, coalesce(nullif(trim(reported_canton), '') <> c.canton_code, false) AS is_discrepant FROM cleaned JOIN located l USING (node) JOIN cells c ON c.parish_code = l.parish_code) "
 )
 plain("validate_coordinates", lambda m: cleaned(m).select("node", "west_inferred", "is_valid", F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"), "reasons"), NODES + "SELECT node, west_inferred, is_valid, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, reasons FROM cleaned")
@@ -398,8 +445,22 @@ plain("node_discrepancies", discrepant, NODES + "SELECT * FROM discrepant")
 plain("node_territory_ids", lambda m: nodes.node_territory_ids(node_rows(m)).select("node", "province_id", "canton_id", "parish_id"), NODES + "SELECT node, 'PROVINCIA|' || province_code AS province_id, 'CANTON|' || province_code || '|' || canton_code AS canton_id, 'PARROQUIA|' || province_code || '|' || canton_code || '|' || parish_code AS parish_id FROM nodes")
 plain("node_filter", lambda m: nodes.node_filter(node_rows(m), provinces=["01", "02"], types=["nodo"]).select("node"), NODES + "SELECT node FROM nodes WHERE province_code IN ('01', '02') AND upper(trim(node_type)) = 'NODO'")
 plain("nonstandard_codes", lambda m: nodes.nonstandard_codes(boundaries(m).withColumn("parish_code", F.when(F.col("parish_code") == "000007", "ISLA").otherwise(F.col("parish_code")))), NODES + "SELECT 'ISLA' AS parish_code, canton_code, province_code FROM cells WHERE parish_code = '000007'")
-plain("boundary_rollup", lambda m: nodes.boundary_rollup(boundaries(m), "canton").drop("polygons"), NODES + "SELECT canton_code, min(canton_name) AS name, count(*) AS n_parishes, min(x)::DOUBLE AS min_x, min(y)::DOUBLE AS min_y, max(x + 1)::DOUBLE AS max_x, max(y + 1)::DOUBLE AS max_y FROM cells GROUP BY canton_code")
-plain("territory_bounds", lambda m: nodes.territory_bounds(nodes.with_box(boundaries(m)), provinces=["01", "02"]), NODES + "SELECT min(x)::DOUBLE AS min_x, min(y)::DOUBLE AS min_y, max(x + 1)::DOUBLE AS max_x, max(y + 1)::DOUBLE AS max_y FROM cells WHERE province_code IN ('01', '02')")
+#: Borders cut at every vertex of the canton on them; a piece that only one parish has is the canton's. All run along an axis.
+OUTLINE = (
+    "corners(shape, ring, q, px, py) AS (VALUES " + ", ".join(f"({k}, {n * 10 + r}, {q}, {px}, {py})" for k, shape in enumerate(SHAPES) for n, rings in enumerate(shape) for r, ring in enumerate(rings) for q, (px, py) in enumerate(ring)) + "), "
+    "spots AS (SELECT canton_code, k, ring, q, x + px::DOUBLE * s AS vx, y + py::DOUBLE * s AS vy FROM cells JOIN corners ON shape = k % 4), "
+    "lines AS (SELECT *, lead(vx) OVER w AS ux, lead(vy) OVER w AS uy FROM spots WINDOW w AS (PARTITION BY canton_code, k, ring ORDER BY q)), "
+    f"knots AS (SELECT canton_code, vx, vy FROM spots UNION SELECT canton_code, x + {duck(EDGE)}, y FROM customer, sized JOIN cells USING (n, cn, w) WHERE k = c_custkey % n), "
+    "bits AS (SELECT l.canton_code, k, ring, q, ux = l.vx AS upright, CASE WHEN ux = l.vx THEN ux ELSE uy END AS lane, CASE WHEN ux = l.vx THEN n.vy ELSE n.vx END AS u FROM lines l JOIN knots n ON l.canton_code = n.canton_code AND n.vx BETWEEN least(l.vx, ux) AND greatest(l.vx, ux) AND n.vy BETWEEN least(l.vy, uy) AND greatest(l.vy, uy) WHERE ux IS NOT NULL), "
+    "pieces AS (SELECT canton_code, upright, lane, u, lead(u) OVER (PARTITION BY canton_code, k, ring, q ORDER BY u) AS v FROM bits), "
+    "border AS (SELECT canton_code, sum(v - u) AS perimeter, count(*) AS n_edges FROM (SELECT canton_code, u, v FROM pieces WHERE v IS NOT NULL GROUP BY canton_code, upright, lane, u, v HAVING count(*) % 2 = 1) GROUP BY canton_code) "
+)
+plain(
+    "boundary_rollup", lambda m: nodes.boundary_rollup(boundaries(m), "canton").select("canton_code", "name", "n_parishes", "min_x", "min_y", "max_x", "max_y", F.round("area", 6).alias("area"), F.round("perimeter", 6).alias("perimeter"), (F.col("n_vertices") - F.col("n_rings")).alias("n_edges")),
+    NODES.rstrip() + ", " + OUTLINE + f"SELECT canton_code, min(canton_name) AS name, count(*) AS n_parishes, min(x)::DOUBLE AS min_x, min(y)::DOUBLE AS min_y, max(x + s)::DOUBLE AS max_x, max(y + s)::DOUBLE AS max_y, round(sum({AREA} * s * s), 6)::DOUBLE AS area, round(any_value(perimeter), 6) AS perimeter, any_value(n_edges)::BIGINT AS n_edges FROM cells JOIN border USING (canton_code) GROUP BY canton_code",
+)
+plain("boundary_offences", lambda m: boundary.offences(sketched(m)), f"SELECT {_code('c_custkey', 6)} AS parish_code, CASE c_custkey % 12 " + " ".join(f"WHEN {k} THEN '{reason}'" for k, (reason, _) in MISTAKES.items()) + " END AS reason FROM customer WHERE c_custkey % 12 IN (" + ", ".join(map(str, MISTAKES)) + ")")
+plain("territory_bounds", lambda m: nodes.territory_bounds(nodes.with_box(boundaries(m)), provinces=["01", "02"]), NODES + "SELECT min(x)::DOUBLE AS min_x, min(y)::DOUBLE AS min_y, max(x + s)::DOUBLE AS max_x, max(y + s)::DOUBLE AS max_y FROM cells WHERE province_code IN ('01', '02')")
 plain("parse_geojson", lambda m: boundaries(m).select("parish_code", nodes.vertex_count().alias("n_vertices")), NODES + "SELECT parish_code, (corners + placed)::BIGINT AS n_vertices FROM vertices")
-plain("simplify_boundary", lambda m: nodes.simplify_boundary(boundaries(m), 0.001).select("parish_code", "n_before", "n_after"), NODES + "SELECT parish_code, (corners + placed)::BIGINT AS n_before, corners::BIGINT AS n_after FROM vertices")
+plain("simplify_boundary", lambda m: nodes.simplify_boundary(coasts(m), 0.001).select("parish_code", "n_before", "n_after"), f"SELECT {_code('k', 6)} AS parish_code, (5 + 4 * coalesce(a, 0))::BIGINT AS n_before, (5 + 4 * coalesce(b, 0))::BIGINT AS n_after FROM (SELECT s_suppkey AS k FROM supplier) LEFT JOIN (SELECT c_custkey % n AS k, count(*) AS a, count(*) FILTER (c_custkey // n % 3 = 0) AS b FROM customer, (SELECT count(*) AS n FROM supplier) GROUP BY 1) USING (k)")
 add("node_map", lambda m: nodes.node_map(node_rows(m).select("node", "licence"), located(m), dims.provider_licence_bridge(m.normalised), m.providers, discrepant(m)), NODES.rstrip() + ", " + sql("\x00")[len("WITH "):].replace("\x00", "SELECT n.node, n.licence, l.parish_code, b.provider_id, p.provider_name, coalesce(d.is_discrepant, false) AS is_discrepant FROM nodes n LEFT JOIN located l USING (node) LEFT JOIN (SELECT DISTINCT provider_id, licence FROM normalised) b ON b.licence = n.licence LEFT JOIN providers p ON p.provider_id = b.provider_id LEFT JOIN discrepant d ON d.node = n.node"))

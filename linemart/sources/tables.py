@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linemart.operators.boundaries import valid_boundaries
+from linemart.operators.nodes import parse_geojson
 from linemart.operators.scd import same, upsert
 
 BOUNDARY_FIELDS = ["parish_code", "parish_name", "canton_code", "canton_name", "province_code", "province_name", "geometry"]
@@ -32,13 +35,18 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | str) ->
 
 
 def read_boundaries(spark: SparkSession, path: str) -> DataFrame:
-    """Boundary rows (JSON lines) with seven required fields, the geometry as GeoJSON text. A missing field fails."""
-    found = spark.read.option("primitivesAsString", True).json(path)
-    missing = [f for f in BOUNDARY_FIELDS if f not in found.columns]
+    """Boundary rows (JSON lines) with seven required fields, the geometry as GeoJSON text, all others as text. A field that no row has fails."""
+    found = spark.read.text(path).select(F.from_json("value", "map<string,string>").alias("f"))  # an object within is kept as its JSON text
+    there = found.agg(*[F.max(F.map_contains_key("f", f)).alias(f) for f in BOUNDARY_FIELDS]).first()
+    missing = [f for f in BOUNDARY_FIELDS if not there[f]]
     if missing:
         raise ValueError(f"boundary fields are missing: {', '.join(missing)}")
-    geometry = F.col("geometry") if dict(found.dtypes)["geometry"] == "string" else F.to_json("geometry")
-    return found.select(*BOUNDARY_FIELDS[:-1], geometry.alias("geometry"))
+    return found.select(*[F.col("f")[f].alias(f) for f in BOUNDARY_FIELDS])
+
+
+def read_valid_boundaries(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(boundary rows with their polygons, (parish_code, reasons) of those left out because their polygons are not valid)."""
+    return valid_boundaries(read_boundaries(spark, path).withColumn("polygons", parse_geojson(F.col("geometry"))))
 
 
 def upsert_summary(spark: SparkSession, path: str, batch: DataFrame, key: list[str], partitions: list[str]) -> None:
@@ -48,21 +56,49 @@ def upsert_summary(spark: SparkSession, path: str, batch: DataFrame, key: list[s
     each partition: its values and the batch that holds it) is then published, which makes all of them current at once.
     Other partitions are neither read nor written, and a crash leaves the manifest before. Null key and partition values
     are equal to each other. A batch with two rows of one key is an error, as either could be meant.
+
+    Two upserts at once never share a number: each claims one by creating a folder that only one of them can create. Of two
+    that began from the same state and end at different times the second is withdrawn and fails; if they end at once, both.
     """
     stamped = batch.withColumn("loaded_at", F.current_timestamp())
     twice = batch.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").limit(1).collect()
     if twice:
         raise ValueError(f"the batch has {twice[0]['n']} rows of the key {tuple(twice[0][k] for k in key)}")
-    number = max([-1, *_numbers(spark, f"{path}/data", "batch"), *_numbers(spark, f"{path}/manifest", "version")]) + 1
+    number = _claimed(spark, path)
     touched = batch.select(*partitions).distinct()
     manifest, after = touched.withColumn("batch", F.lit(number)), stamped
-    if current_version(spark, f"{path}/manifest") is not None:
+    based_on = current_version(spark, f"{path}/manifest")
+    if based_on is not None:
         before = read_published(spark, f"{path}/manifest")
         held = read_summary(spark, path).alias("a").join(touched.alias("b"), same("a", "b", partitions), "left_semi").select(*stamped.columns)
         after = upsert(held, stamped, key)
         manifest = before.alias("a").join(touched.alias("b"), same("a", "b", partitions), "left_anti").unionByName(manifest)
     after.write.partitionBy(*partitions).parquet(f"{path}/data/batch={number}")
-    publish_with_previous(spark, manifest, f"{path}/manifest")
+    publish_with_previous(spark, manifest, f"{path}/manifest", number)
+    if {n for n in _numbers(spark, f"{path}/manifest", "current") if based_on is None or n > based_on} != {number}:
+        fs, mark = _folder(spark, f"{path}/manifest/current={number}")
+        fs.delete(mark, False)
+        raise RuntimeError(f"another upsert into {path} was published meanwhile; this one is withdrawn, and may be run again")
+
+
+def _claimed(spark: SparkSession, path: str) -> int:
+    """A batch number that no other writer has: its claim, an empty file, is created only if there is none."""
+    number = max([-1, *_numbers(spark, f"{path}/data", "batch"), *_numbers(spark, f"{path}/claims", "batch"), *_numbers(spark, f"{path}/manifest", "version")]) + 1
+    while True:
+        fs, where = _folder(spark, f"{path}/claims/batch={number}")
+        try:
+            fs.create(where, False).close()
+            return number
+        except Py4JJavaError as taken:
+            if not fs.exists(where):
+                raise taken
+            number += 1
+
+
+def latest_of_each(batch: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """One row for each key: of several the last by `order`, which must tell them apart."""
+    rows = [c for c in batch.columns if c not in order]
+    return batch.groupBy(*key).agg(F.max_by(F.struct(*rows), F.struct(*order)).alias("_r")).select("_r.*")
 
 
 def read_summary(spark: SparkSession, path: str, back: int = 0) -> DataFrame:
@@ -107,16 +143,17 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return max(_numbers(spark, path, "current"), default=None)
 
 
-def publish_with_previous(spark: SparkSession, df: DataFrame, path: str) -> str:
-    """Writes the next version, then marks it as current by an empty folder, made at once; those before stay. Gives the new version's path.
+def publish_with_previous(spark: SparkSession, df: DataFrame, path: str, number: int | None = None) -> str:
+    """Writes the next version, then marks it as current by an empty file that only one writer can create; those before stay. Gives the new version's path.
 
     Numbers only rise, above those of versions that were begun and never marked, so nothing is overwritten.
     """
-    number = max([-1, *_numbers(spark, path, "version"), *_numbers(spark, path, "current")]) + 1
+    if number is None:
+        number = max([-1, *_numbers(spark, path, "version"), *_numbers(spark, path, "current")]) + 1
     version = f"{path}/version={number}"
     df.write.parquet(version)
     fs, mark = _folder(spark, f"{path}/current={number}")
-    fs.mkdirs(mark)
+    fs.create(mark, False).close()
     return version
 
 

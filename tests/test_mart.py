@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -159,7 +160,7 @@ def test_points_in_polygons_with_holes_and_borders():
     x, y = np.array([0.5, 0, 1, 1.5, 5]), np.array([0.5, 2, 1.5, 1.5, 2])
     assert geometry.covers(x, y, [[outer, hole]]).tolist() == [True, True, True, False, False]
     line = np.array([[0, 0], [1, 0.001], [2, 0], [2, 2], [0, 2], [0, 0]], float)
-    assert len(geometry.simplify_ring(line, 0.01)) == 5 and len(geometry.simplify_ring(line, 0.0001)) == 6
+    assert len(geometry.simplify_rings([line], 0.01)[0]) == 5 and len(geometry.simplify_rings([line], 0.0001)[0]) == 6
 
 
 def test_parishes_of_every_shape(spark):
@@ -279,6 +280,40 @@ def test_stream_of_batches_upserts(spark, tmp_path):
         assert [r.lines for r in tables.read_summary(spark, f"{tmp_path}/out").collect()] == [lines]
 
 
+def test_a_month_and_its_correction_in_one_batch(spark, tmp_path):
+    """Files that arrive between two calls meet in one batch: the latest row of a key counts, and the stream goes on."""
+    schema = "licence string, year int, lines long"
+    for k, rows in enumerate(([("a", 2020, 1), ("b", 2020, 5)], [("a", 2020, 2), (None, 2020, 3)], [("a", 2020, 7), (None, 2020, 4), ("a", 2020, 8)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        for f in (tmp_path / "in").glob("part-*"):  # times apart, in the order of arrival
+            if f.stat().st_mtime > 1_000_000_100:
+                os.utime(f, (1_000_000_000 + k, 1_000_000_000 + k))
+    for _ in range(2):
+        loads.upsert_available(spark, f"{tmp_path}/in", schema, f"{tmp_path}/out", f"{tmp_path}/cp", ["licence", "year"], ["year"])
+        assert {r.licence: r.lines for r in tables.read_summary(spark, f"{tmp_path}/out").collect()} == {"a": 8, "b": 5, None: 4}
+
+
+def test_writers_at_once_do_not_share_a_number(spark, tmp_path, monkeypatch):
+    row = lambda k, v: spark.createDataFrame([(k, 2020, v)], "licence string, year int, lines long")
+    path = f"{tmp_path}/t"
+    tables.upsert_summary(spark, path, row("a", 1), ["licence"], ["year"])
+    with ThreadPoolExecutor(4) as pool:
+        assert len({f.result() for f in [pool.submit(tables._claimed, spark, path) for _ in range(12)]}) == 12
+    upserted = tables.upsert
+
+    def slow(*args):  # another writer gets in between
+        monkeypatch.setattr(tables, "upsert", upserted)
+        tables.upsert_summary(spark, path, row("b", 2), ["licence"], ["year"])
+        return upserted(*args)
+
+    monkeypatch.setattr(tables, "upsert", slow)
+    with pytest.raises(RuntimeError, match="another upsert"):
+        tables.upsert_summary(spark, path, row("c", 3), ["licence"], ["year"])
+    assert {r.licence for r in tables.read_summary(spark, path).collect()} == {"a", "b"}
+    tables.upsert_summary(spark, path, row("c", 3), ["licence"], ["year"])
+    assert {r.licence for r in tables.read_summary(spark, path).collect()} == {"a", "b", "c"}
+
+
 def test_flagship_is_sound(spark):
     m = registry.Mart(spark, "/root/testdata/sf0.001")
     checks = {r.check: r.n_bad for r in quality.mart_checks(m.fact, m.share, m.hhi, m.market).collect()}
