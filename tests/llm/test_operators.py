@@ -522,7 +522,7 @@ def test_html_copies_of_a_page_are_no_evidence(spark):
     pages += [(30 + k, "http://same.example/", f"<!-- {k} -->{one}") for k in range(4)]
     got = {r.page_id: r.text for r in html_wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
     assert {got[k] for k in [*range(7), *range(30, 34)]} == {"T Text"}
-    assert all("Welcome" in got[10 + k] and "Welcome" not in got[20 + k] and f"Story {k % 3} differs." in got[20 + k] for k in range(6))
+    assert all("Welcome" not in got[10 + k] and "Welcome" not in got[20 + k] and f"Story {k % 3} differs." in got[20 + k] for k in range(6))
 
 
 def noise(r, words):
@@ -554,7 +554,7 @@ def test_html_equals_what_pages_are_made_of(spark, region):
         body = f"<{region} id=x7>{body}{inner}</{region}>"
         html = f"<!DOCTYPE html><html><head><title>{words(3)}</title></head><body>{noise(r, words)}{fixed}<header>Top</header>{body}{noise(r, words)}<footer>&copy; {words(2)}</footer></body></html>"
         pages.append((k, f"http://{host}.example/{k}", html, "mine"))
-        want[k] = " ".join(blocks)
+        want[k] = " ".join([*blocks, *(["Share this story"] if inner else [])])  # fixed text inside the region stays
     rows = [*pages, pages[0], pages[0]]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, role string").repartition(5)
     got = html_wrapper.extract(df).collect()
@@ -571,8 +571,37 @@ def test_html_slots_decide():
         whole = html_wrapper.joined(whole, html_wrapper.page_items(p))
     role = html_wrapper.roles(whole)
     assert html_wrapper.received(html_wrapper.sent(role)) == role
-    assert html_wrapper.main_text(pages[1], role) == "Story 1 is long and differs, 1 times. And so does 1."
-    assert "Share this" in html_wrapper.main_text(pages[1], role | {"drop": []}) and "Note 1" in html_wrapper.main_text(pages[1], role | {"regions": []})
+    assert html_wrapper.main_text(pages[1], role) == "Story 1 is long and differs, 1 times. And so does 1. Share this"
+    none = role | {"regions": []}
+    assert "Note 1" in html_wrapper.main_text(pages[1], none) and "Hello" not in html_wrapper.main_text(pages[1], none)
+    assert "Hello" in html_wrapper.main_text(pages[1], none | {"drop": []})
+
+
+ARTICLE = "<h1>Title {k}</h1><h2>Summary</h2><p>What {k} is about and how it came to be.</p><blockquote>Our fixed quote.</blockquote><p>More of {k} that no other page has.</p>"
+FRAMES = {
+    "article": "<body><nav><a href=/>Home</a></nav><article>{a}</article><footer>Contact</footer></body>",
+    "marked article": "<body><article class='post social-policy'>{a}</article><div class=ad>Buy now {k}</div></body>",
+    "body class": "<body class='single has-sidebar'><article>{a}</article><aside>Other {k}</aside></body>",
+    "top story": "<body><div class='top-story'>{a}</div><div class=sidebar>Other stories of {k}</div></body>",
+    "plain": "<body><div class=share-main>{a}</div><section id=comments><p>Nice, {k}!</p></section></body>",
+    "none": "<body>{a}</body>",
+}
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 300])
+def test_html_keeps_fixed_text_and_words_in_vain(spark, n):
+    """Whatever classes say and however many pages a host has, the article keeps all of its text."""
+    pages = [(j * 1000 + k, f"http://{name.replace(' ', '')}.example/{k}", frame.format(a=ARTICLE.format(k=f"no{k}"), k=k)) for j, (name, frame) in enumerate(FRAMES.items()) for k in range(n)]
+    want = {i: " ".join(re.sub(r"<[^>]*>", " ", ARTICLE.format(k=f"no{i % 1000}")).split()) for i, _, _ in pages}
+    got = {r.page_id: r.text for r in html_wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(7)).collect()}
+    assert got == want
+
+
+def test_html_near_copies_keep_their_text(spark):
+    story = "<h1>One title</h1><p>The same first part.</p><p>The same second part, which is longer.</p><p>Seen {k} times.</p>"
+    pages = [(j * 100 + k, f"http://{name.replace(' ', '')}.example/{k}", frame.format(a=story.format(k=k), k=k)) for j, (name, frame) in enumerate(FRAMES.items()) for k in range(4)]
+    got = {r.page_id: r.text for r in html_wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"One title The same first part. The same second part, which is longer. Seen {i % 100} times." for i, _, _ in pages}
 
 
 def test_html_reads_any_page_in_linear_time():
