@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linemart.llm.shared import checkpointed
+from linemart.llm.shared import checkpointed, renamed, restored
 
 #: Kinds in the order in which they are listed at equal starts, the class of each, and whether it is weak.
 KINDS = ["assign", "access", "hex", "weak_id", "weak_secret", "endpoint"]
@@ -177,14 +177,16 @@ def redact(text: str, spans: list[tuple[int, int]], mask: str = "[secret]") -> s
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 200, mask: str = "[secret]") -> DataFrame:
     """docs with every span that `scan` reports masked in the text; other columns as they are.
 
-    Spans come back to their texts by id and text hash, so rows that repeat get the same ones.
+    Spans come back to their texts by id and text hash, so rows that repeat get the same ones. Columns of any name pass.
     """
+    own, name = renamed(docs)
+    i, t = name[id_col], name[text_col]
     hits = (
-        scan(docs, id_col, text_col, reach).filter(F.size("found") > 0).dropDuplicates([id_col, "text_hash"])
-        .select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), F.expr("transform(found, x -> struct(x.start, x.end))").alias("_spans"))
+        scan(own, i, t, reach).filter(F.size("found") > 0).dropDuplicates([i, "text_hash"])
+        .select(F.col(i).alias("_id"), F.col("text_hash").alias("_hash"), F.expr("transform(found, x -> struct(x.start, x.end))").alias("_spans"))
     )
-    both = docs.join(hits, docs[id_col].eqNullSafe(hits["_id"]) & (F.xxhash64(docs[text_col]) == hits["_hash"]), "left").drop("_id", "_hash")
-    k = docs.columns.index(text_col)
+    both = own.join(hits, own[i].eqNullSafe(hits["_id"]) & (F.xxhash64(own[t]) == hits["_hash"]), "left").drop("_id", "_hash")
+    k = own.columns.index(t)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -195,4 +197,4 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
                 out = out.set_column(k, out.schema.field(k), pa.array(new, out.schema.field(k).type))
             yield out
 
-    return both.mapInArrow(run, docs.schema)
+    return both.mapInArrow(run, own.schema).select(*restored(name))

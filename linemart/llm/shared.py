@@ -16,6 +16,8 @@ SPACES = " \t\n\x0b\x0c\r"
 
 #: Folders of tables that `stored` and `bucketed` have written and nobody has removed yet, oldest first.
 _tables: list[str] = []
+#: Names in the catalog of those that `bucketed` has written, by folder.
+_named: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -60,14 +62,17 @@ def bucketed(df: DataFrame, column: str) -> DataFrame:
     path = _new_path(spark)
     name, n = f"bucketed_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(n, column).saveAsTable(name)
+    _named[path] = name
     return spark.table(name)
 
 
 def removed_after(spark: SparkSession, mark: int, but: DataFrame | None = None) -> None:
-    """Removes the tables written since len(tables()) was `mark`, except those that `but` reads."""
+    """Removes the tables written since len(tables()) was `mark`, except those that `but` reads, and their names in the catalog."""
     held = {f.rpartition("/")[0].rpartition("/")[2] for f in but.inputFiles()} if but is not None else set()
     for path in _tables[mark:]:
         if path.rpartition("/")[2] not in held:
+            if path in _named:
+                spark.sql(f"DROP TABLE IF EXISTS {_named.pop(path)}")
             where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
             _tables.remove(path)

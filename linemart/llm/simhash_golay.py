@@ -443,12 +443,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """docs without near copies: of each group of similar texts the row with the smallest id stays, its columns as they are.
 
     Equal texts are folded first: the row with the smallest id of each text is stored in buckets, and from then on texts
-    stay where they are. A text is known by a number, the 64-bit hash of its MD5 and its smallest id.
+    stay where they are. A text is known by a number, the 64-bit hash of its MD5 and its smallest id; two texts that share a
+    number by chance both stay if either does.
     """
     key = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
     rows = docs.select(F.struct("*").alias("row"), key.alias("key"), F.col(id_col).alias("id"))
     lowest = rows.groupBy("key").agg(F.min(F.struct("id")).alias("low")).select(F.xxhash64("key", "low.id").alias("v"))
-    own = rows.select("row", F.xxhash64("key", "id").alias("v")).join(lowest, "v", "left_semi").dropDuplicates(["v"])
+    own = rows.select("row", "key", F.xxhash64("key", "id").alias("v")).join(lowest, "v", "left_semi").dropDuplicates(["v", "key"]).drop("key")
     once = bucketed(own, "v")
     roots = components(similar_links(once.select("v", F.col("row")[text_col].cast("string").alias("text")), shingle, similarity))
     rooted = once.select("v", F.col("row")[id_col].alias("id")).join(roots, once["v"] == roots["node"], "left").select("v", "id", F.coalesce("root", "v").alias("root"))
