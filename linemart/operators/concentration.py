@@ -19,7 +19,7 @@ def reported_market(provider_month: DataFrame) -> DataFrame:
     )
 
 
-def market_share(fact: DataFrame, bridge: DataFrame) -> DataFrame:
+def market_share(fact: DataFrame, bridge: DataFrame | None = None) -> DataFrame:
     """Share, HHI term, rank and coverage of each provider in each market; null for providers that did not report."""
     p = provider_territory_month(fact, bridge)
     w = Window.partitionBy(*MARKET)

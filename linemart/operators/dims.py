@@ -33,13 +33,17 @@ def describe_months(days: DataFrame) -> DataFrame:
 
 
 def provider_dimension(rows: DataFrame) -> DataFrame:
-    """One row for each provider: its latest attributes, months on record and really reported, statuses and licences."""
+    """One row for each provider: its latest attributes, months on record and really reported, statuses and licences.
+
+    rows are months, reported or imputed, or reports with the month `until` which they are carried; both give the same.
+    """
     status = F.array_join(F.sort_array(F.collect_set("status")), ", ")
     licences = F.sort_array(F.collect_set("licence"))
+    last = "until" if "until" in rows.columns else "month"
+    real = F.when(F.col("is_reported"), F.col("month")) if last == "month" else F.col("month")
     return rows.groupBy("provider_id").agg(
-        F.max_by(F.struct("provider_name", "tax_id", "permit_text"), F.struct("month", "licence")).alias("_v"),
-        F.min("month").alias("first_month"), F.max("month").alias("last_month"),
-        F.min(F.when(F.col("is_reported"), F.col("month"))).alias("first_reported"), F.max(F.when(F.col("is_reported"), F.col("month"))).alias("last_reported"),
+        F.max_by(F.struct("provider_name", "tax_id", "permit_text"), F.struct(last, "licence")).alias("_v"),
+        F.min("month").alias("first_month"), F.max(last).alias("last_month"), F.min(real).alias("first_reported"), F.max(real).alias("last_reported"),
         F.bool_and(is_cancelled(F.col("status"))).alias("is_cancelled"), status.alias("statuses"),
         F.size(licences).cast("long").alias("n_licences"), F.array_join(licences, ", ").alias("licences"),
     ).select(

@@ -113,12 +113,18 @@ def territory_ids(province: Column, canton: Column, parish: Column) -> Column:
     return F.array_compact(F.array(F.lit(NATIONAL), level("PROVINCIA", province), level("CANTON", canton), level("PARROQUIA", parish)))
 
 
-def territory_rollup(fact: DataFrame, bridge: DataFrame) -> DataFrame:
-    """fact once for each territory of its geography. The bridge holds at most four rows for a geography."""
-    return fact.join(bridge, "geography_id")
+def territories_of_id(geography_id: Column) -> Column:
+    """The territories of a geography by its id, which holds the codes of all levels; codes have no bar in them."""
+    code = lambda k, none: F.nullif(F.split_part(geography_id, F.lit("|"), F.lit(k)), F.lit(none))
+    return territory_ids(code(2, "SIN_PROVINCIA"), code(3, "SIN_CANTON"), code(4, "SIN_PARROQUIA"))
 
 
-def provider_territory_month(fact: DataFrame, bridge: DataFrame) -> DataFrame:
+def territory_rollup(fact: DataFrame, bridge: DataFrame | None = None) -> DataFrame:
+    """fact once for each territory of its geography, at most four: by a bridge, which may hold a choice of them, or all by the id alone, without a join."""
+    return fact.withColumn("territory_id", F.explode(territories_of_id(F.col("geography_id")))) if bridge is None else fact.join(bridge, "geography_id")
+
+
+def provider_territory_month(fact: DataFrame, bridge: DataFrame | None = None) -> DataFrame:
     """Sums by month, territory and provider: all additive, so partial sums meet the skew of the national territory."""
     return territory_rollup(fact, bridge).groupBy("period_id", "month", "territory_id", "provider_id").agg(
         F.sum(F.coalesce("lines", F.lit(0))).alias("lines"), F.count("lines").alias("with_data"), F.sum("users").alias("users"),
@@ -127,7 +133,7 @@ def provider_territory_month(fact: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
-def market_summary(fact: DataFrame, bridge: DataFrame) -> DataFrame:
+def market_summary(fact: DataFrame, bridge: DataFrame | None = None) -> DataFrame:
     """Market totals by month and territory, and providers by whether they have lines, none, or no data."""
     p = provider_territory_month(fact, bridge)
     out = p.groupBy("period_id", "month", "territory_id").agg(
@@ -151,7 +157,7 @@ def calendar_offset_join(market: DataFrame, value: str = "lines", key: tuple[str
     return out
 
 
-def speed_market(fact: DataFrame, bridge: DataFrame) -> DataFrame:
+def speed_market(fact: DataFrame, bridge: DataFrame | None = None) -> DataFrame:
     """Lines by month, territory, direction and band: wide sums first, unpivoted after the roll-up."""
     bands = [c for c in split_measures() if c.startswith(("dl_", "ul_"))]
     wide = territory_rollup(fact, bridge).groupBy("period_id", "month", "territory_id").agg(*[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in bands])

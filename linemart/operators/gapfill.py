@@ -25,21 +25,28 @@ def spine_to_reports(spine: DataFrame, reports: DataFrame, key: list[str], month
     return spine.join(packed, same & (F.col(month) == F.col(f"_r_{month}")), "left").select(*key, month, "snapshot")
 
 
-def interior_locf(reports: DataFrame, key: list[str], month: str = "month", max_months: int | None = None) -> DataFrame:
-    """All months of each series, with the values of the last report taken as a whole, and is_reported / is_imputed.
+def carried_intervals(reports: DataFrame, key: list[str], month: str = "month", max_months: int | None = None) -> DataFrame:
+    """reports with `until`, the last month that each is carried to: that before the next report of its series, or its own.
 
-    Each report gives its own month and those up to the next one of its series, so one window over the reports is all
-    that is shuffled, nothing is joined, and values that nobody reads are pruned. A null measure of a report stays null
-    and is carried as null. Months are first days; reports without a month give nothing; of reports that repeat a month
-    each stays and one is carried.
+    One window over the reports is all that is shuffled, and values that nobody reads are pruned. Reports without a month
+    give nothing; of reports that repeat a month each stays and one is carried.
     """
-    values = [c for c in reports.columns if c not in [*key, month]]
     series = Window.partitionBy(*key)
     dated = reports.filter(F.col(month).isNotNull()).withColumn("_end", F.add_months(F.lead(month).over(series.orderBy(month)), -1))
     if max_months is not None:
         dated = dated.withColumn("_limit", F.add_months(F.min(month).over(series), max_months - 1)).filter(F.col(month) <= F.col("_limit"))
         dated = dated.withColumn("_end", F.least("_end", "_limit"))
-    filled = dated.withColumn("_m", F.explode(F.sequence(month, F.greatest(month, "_end"), F.expr("interval 1 month"))))
+    return dated.withColumn("until", F.greatest(month, "_end")).select(*reports.columns, "until")
+
+
+def interior_locf(reports: DataFrame, key: list[str], month: str = "month", max_months: int | None = None) -> DataFrame:
+    """All months of each series, with the values of the last report taken as a whole, and is_reported / is_imputed.
+
+    Each report gives its own month and those up to the next one of its series; nothing is joined. A null measure of a
+    report stays null and is carried as null. Months are first days.
+    """
+    values = [c for c in reports.columns if c not in [*key, month]]
+    filled = carried_intervals(reports, key, month, max_months).withColumn("_m", F.explode(F.sequence(month, "until", F.expr("interval 1 month"))))
     reported = F.col("_m") == F.col(month)
     return filled.select(*key, F.col("_m").alias(month), *values, reported.alias("is_reported"), (~reported).alias("is_imputed"))
 

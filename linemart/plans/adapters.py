@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from linemart.operators import concentration, dims, facts, gapfill, identity
 
-NAME = "CASE WHEN s_suppkey % 50 = 7 THEN 'Proveedor de PRUEBA' WHEN s_suppkey % 3 = 0 THEN 'Grupo ' || CAST(s_suppkey % 60 AS STRING) ELSE s_name END"
+#: Tax ids are shared by two suppliers each (n and n + 60), and a nation has a parish for every 500 parts: both follow the tables.
+TAX_NUMBER, PARISH = "CAST(floor(s_suppkey / 120) * 60 + s_suppkey % 60 AS BIGINT)", "CAST(CAST(floor(l_partkey / 500) AS BIGINT) AS STRING)"
+NAME = "CASE WHEN s_suppkey % 50 = 7 THEN 'Proveedor de PRUEBA' WHEN s_suppkey % 3 = 0 THEN 'Grupo ' || CAST(" + TAX_NUMBER + " AS STRING) ELSE s_name END"
 STATUS = "CASE s_suppkey % 8 WHEN 0 THEN 'Nuevo' WHEN 1 THEN 'Cancelación' WHEN 2 THEN 'SI' WHEN 3 THEN 'Opera Irregularmente' WHEN 4 THEN '-' ELSE 'Opera Normalmente' END"
 PERMIT = (
     "CASE s_suppkey % 4 WHEN 0 THEN '1997-03-1' || CAST(s_suppkey % 9 AS STRING) || ' 00:00' WHEN 1 THEN '2' || CAST(s_suppkey % 8 AS STRING) || '/11/1995' "
     "WHEN 2 THEN 'sin fecha' ELSE NULL END"
 )
-TAX = "lpad(CAST(s_suppkey % 60 AS STRING), 10, '0') || '-001'"
+TAX = f"lpad(CAST({TAX_NUMBER} AS STRING), 10, '0') || '-001'"
 LICENCE = "lpad(CAST(s_suppkey AS STRING), 6, '0')"
 CANTON = "lpad(CAST(n_regionkey + 1 AS STRING), 2, '0') || lpad(CAST(n_nationkey AS STRING), 2, '0')"
 DETAIL = {
@@ -29,8 +31,8 @@ DETAIL = {
     "province_name": "CASE WHEN n_nationkey = 24 THEN NULL ELSE r_name END",
     "canton_code": CANTON,
     "canton_name": "n_name",
-    "parish_code": f"{CANTON} || lpad(CAST(l_partkey % 4 AS STRING), 2, '0')",
-    "parish_name": "n_name || ' ' || CAST(l_partkey % 4 AS STRING)",
+    "parish_code": f"{CANTON} || lpad({PARISH}, greatest(2, length({PARISH}))::INT, '0')",
+    "parish_name": f"n_name || ' ' || {PARISH}",
     "link_type": "l_returnflag",
     "client_type": "l_linestatus",
     "share_level": "CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE 'S' || CAST(s_suppkey % 3 AS STRING) END",
@@ -109,19 +111,21 @@ class Mart:
 
     @cached_property
     def providers(self) -> DataFrame:
-        return dims.provider_dimension(self.normalised)
+        """From the reports and the months that each is carried over: the months between are not made."""
+        carried = gapfill.carried_intervals(self.summary, SERIES)
+        return dims.provider_dimension(identity.normalise(carried, self.reporters))
 
     @cached_property
     def market(self) -> DataFrame:
-        return facts.market_summary(self.fact, self.bridge)
+        return facts.market_summary(self.fact)
 
     @cached_property
     def speeds(self) -> DataFrame:
-        return facts.band_share(facts.speed_market(self.fact, self.bridge))
+        return facts.band_share(facts.speed_market(self.fact))
 
     @cached_property
     def share(self) -> DataFrame:
-        return concentration.market_share(self.fact, self.bridge)
+        return concentration.market_share(self.fact)
 
     @cached_property
     def hhi(self) -> DataFrame:

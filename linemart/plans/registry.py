@@ -207,7 +207,7 @@ add("territory_rollup", lambda m: facts.provider_territory_month(m.fact, m.bridg
 add("market_summary", lambda m: m.market, sql("SELECT * FROM market"))
 offset = ", ".join(f"lines - {p} AS diff_{n}, round(100.0 * (lines - {p})::DOUBLE / nullif({p}, 0), 4) AS pct_{n}" for n, p in (("month", "prev_month"), ("year", "prev_year")))
 add("calendar_offset_join", lambda m: facts.calendar_offset_join(m.market.select("period_id", "month", "territory_id", "lines")), sql(f"SELECT *, {offset} FROM (SELECT a.period_id, a.month, a.territory_id, a.lines, b.lines AS prev_month, c.lines AS prev_year FROM market a LEFT JOIN market b ON b.territory_id = a.territory_id AND b.month = a.month - INTERVAL 1 MONTH LEFT JOIN market c ON c.territory_id = a.territory_id AND c.month = a.month - INTERVAL 1 YEAR)"))
-add("speed_market", lambda m: facts.speed_market(m.fact, m.bridge), sql("SELECT * FROM speed_wide"))
+add("speed_market", lambda m: facts.speed_market(m.fact), sql("SELECT * FROM speed_wide"))
 add("band_share", lambda m: m.speeds, sql("SELECT * FROM speeds"))
 add("month_diff", lambda m: compliance.month_diff(m.market.select("territory_id", "period_id", "lines"), "lines", "period_id", ["territory_id"]).filter(F.col("territory_id") == C.NATIONAL).drop("territory_id"), sql("SELECT period_id, lines, lines - lag(lines) OVER w AS diff, round(100.0 * (lines - lag(lines) OVER w)::DOUBLE / nullif(lag(lines) OVER w, 0), 4) AS pct_change FROM market WHERE territory_id = 'NACIONAL|ECUADOR' WINDOW w AS (ORDER BY period_id)"))
 
@@ -238,7 +238,7 @@ add("evolution_filtered", lambda m: compliance.evolution_filtered(chosen(m)), sq
 
 # Concentration
 
-add("reported_market", lambda m: concentration.reported_market(facts.provider_territory_month(m.fact, m.bridge)), sql("SELECT * FROM reported_market"))
+add("reported_market", lambda m: concentration.reported_market(facts.provider_territory_month(m.fact)), sql("SELECT * FROM reported_market"))
 add("market_share", lambda m: m.share, sql("SELECT * FROM share"))
 add("provider_rank", lambda m: m.share.filter("rank is not null").select("period_id", "territory_id", "provider_id", "rank", "is_leader"), sql("SELECT period_id, territory_id, provider_id, rank, is_leader FROM share WHERE rank IS NOT NULL"))
 add("line_state", lambda m: m.share.groupBy("territory_id", "line_state").agg(F.count("*").alias("n_rows")), sql("SELECT territory_id, line_state, count(*) AS n_rows FROM share GROUP BY ALL"))
