@@ -454,6 +454,30 @@ def test_url_rules_and_trees(spark):
     assert url_filter.judge(df.limit(0), rules, url_filter.fit(labelled.limit(0))).count() == 0
 
 
+def test_url_rules_by_brute_force(spark):
+    r = random.Random(21)
+    texts = ["net/", "example.net/en/", "example.com/de/", "org/fr/", "org/", "a.org/fr/x", "a.org/fr/", "com/", "b.a.org/", "example.net/"]
+    rules = [url_filter.UrlRule(r.choice(["allow", "block"]), t) for t in texts]
+    hosts = ["net", "NET", "example.net", "x.example.net", "xexample.net", "example.com", "a.org", "b.a.org", "aorg", "org", "", "é.org", "user@org", "org:80", "example.net."]
+    paths = ["", "/", "/en/", "/en", "/EN/", "/fr/", "/fr/x/y", "/fr", "/de/1", "//", "/fr/://net/", "/é/"]
+    urls = [r.choice(["http", "", "HTTPS", "a://b", "x"]) + r.choice(["://", "://", "://", ":/", ""]) + r.choice(hosts) + r.choice(paths) + r.choice(["", "?q=/en/", "#/fr/", "\n", "?", "#"]) for _ in range(1500)] + [None, "://", "://net/"]
+
+    def judged(url):
+        if url is None or "://" not in url:
+            return "", "", None
+        rest = url.split("://", 1)[1]
+        host = re.split(r"[/?#]", rest)[0]
+        path = re.split(r"[?#]", rest[len(host) :])[0]
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+        fits = [x for x in rules for own, _, start in [x.text.partition("/")] if (host == own or host.endswith("." + own)) and path.startswith("/" + start)]
+        return host, path, max(fits, key=lambda x: len(x.text)).text if fits else None
+
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string").withColumns({"host": url_filter.host_of(F.col("url")), "path": url_filter.path_of(F.col("url"))})
+    got = {x.page_id: (x.host, x.path, x.rule) for x in df.select("page_id", "host", "path", url_filter.rule_for(rules, F.col("host"), F.col("path"))["text"].alias("rule")).collect()}
+    wrong = [(u, got[k], judged(u)) for k, u in enumerate(urls) if got[k] != judged(u)]
+    assert not wrong, wrong[:3]
+
+
 def test_url_columns_of_any_name_pass(spark):
     rows = [(k, f"http://{'bad' if k % 2 else 'good'}{k % 20}.example.org/{k}", k % 2) for k in range(200)]
     model = url_filter.fit(spark.createDataFrame(rows, "page_id long, url string, label int"), max_rows=60)
