@@ -46,7 +46,7 @@ def edges_of(rings: DataFrame, keys: list[str]) -> DataFrame:
     return out.select(*keys, "pos", "n", *[F.col(f"e.{p}.{c}").alias(p + c) for p in "ab" for c in "xy"])
 
 
-def _level(extent: Column) -> Column:
+def level_of(extent: Column) -> Column:
     """The power of four that is no less than an extent."""
     return F.ceil(F.log(4.0, extent)).cast("int")
 
@@ -55,7 +55,7 @@ def _size(level: Column) -> Column:
     return F.pow(F.lit(4.0), level)
 
 
-def _levels(df: DataFrame) -> Column:
+def levels_in(df: DataFrame) -> Column:
     """The levels that occur, as an array; exponents of doubles, so a few dozen at most."""
     return F.lit(sorted(r[0] for r in df.select("level").distinct().collect())).cast("array<int>")
 
@@ -63,10 +63,10 @@ def _levels(df: DataFrame) -> Column:
 def _boxed(edges: DataFrame) -> DataFrame:
     low, high = F.least, F.greatest
     out = edges.withColumns({"x0": low("ax", "bx"), "x1": high("ax", "bx"), "y0": low("ay", "by"), "y1": high("ay", "by")})
-    return out.withColumn("level", _level(high(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))))
+    return out.withColumn("level", level_of(high(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))))
 
 
-def _celled(df: DataFrame, x0: str, x1: str, y0: str, y1: str) -> DataFrame:
+def celled(df: DataFrame, x0: str, x1: str, y0: str, y1: str) -> DataFrame:
     """df with a row for each cell of its level that its box meets."""
     at = lambda c: F.floor(F.col(c) / _size(F.col("level")))
     return df.withColumn("cx", F.explode(F.sequence(at(x0), at(x1)))).withColumn("cy", F.explode(F.sequence(at(y0), at(y1))))
@@ -84,9 +84,9 @@ def noded(edges: DataFrame, group: list[str], snap: float = SNAP) -> DataFrame:
     Neighbours then share whole edges even where only one of them has a vertex on the common border.
     """
     box = _boxed(edges)
-    levels = _levels(box)
+    levels = levels_in(box)
     near = [(F.col("x0") - snap).alias("x0"), (F.col("x1") + snap).alias("x1"), (F.col("y0") - snap).alias("y0"), (F.col("y1") + snap).alias("y1")]
-    owners = _celled(box.select(*group, "eid", "ax", "ay", "bx", "by", "level", *near), "x0", "x1", "y0", "y1")
+    owners = celled(box.select(*group, "eid", "ax", "ay", "bx", "by", "level", *near), "x0", "x1", "y0", "y1")
     spots = edges.select(*group, F.col("ax").alias("vx"), F.col("ay").alias("vy")).distinct().withColumn("level", F.explode(levels))
     spots = spots.withColumn("cx", F.floor(F.col("vx") / _size(F.col("level")))).withColumn("cy", F.floor(F.col("vy") / _size(F.col("level"))))
     met = owners.join(spots, [*group, "level", "cx", "cy"]).filter("vx between x0 and x1 and vy between y0 and y1")
@@ -182,8 +182,8 @@ def rings_around(spots: DataFrame, edges: DataFrame, group: list[str], ring: str
 
     A ray to the right meets only edges whose height, in steps of their own size, holds the spot's.
     """
-    steep = edges.filter("ay <> by").withColumns({"y0": F.least("ay", "by"), "y1": F.greatest("ay", "by")}).withColumn("level", _level(F.col("y1") - F.col("y0")))
-    levels = _levels(steep)
+    steep = edges.filter("ay <> by").withColumns({"y0": F.least("ay", "by"), "y1": F.greatest("ay", "by")}).withColumn("level", level_of(F.col("y1") - F.col("y0")))
+    levels = levels_in(steep)
     at = lambda c: F.floor(F.col(c) / _size(F.col("level")))
     owners = steep.withColumn("bin", F.explode(F.sequence(at("y0"), at("y1")))).select(*group, ring, "ax", "ay", "bx", "by", "level", "bin")
     probes = spots.withColumn("level", F.explode(levels)).withColumn("bin", at("y"))
@@ -234,11 +234,11 @@ def meeting_edges(edges: DataFrame, group: list[str]) -> DataFrame:
     pair counts in one cell alone: that of the lower left corner of the boxes' common part.
     """
     box = _boxed(edges)
-    levels = _levels(box)
-    owners = _celled(box, "x0", "x1", "y0", "y1")
+    levels = levels_in(box)
+    owners = celled(box, "x0", "x1", "y0", "y1")
     asked = box.withColumnRenamed("level", "own").withColumn("level", F.explode(F.filter(levels, lambda v: v >= F.col("own"))))
     names = {"ax": "cx_", "ay": "cy_", "bx": "dx_", "by": "dy_", "eid": "e2", "ring": "ring2", "part": "part2", "pos": "pos2", "n": "n2", "x0": "u0", "x1": "u1", "y0": "v0", "y1": "v1"}
-    asked = _celled(asked, "x0", "x1", "y0", "y1")
+    asked = celled(asked, "x0", "x1", "y0", "y1")
     for old, new in names.items():
         asked = asked.withColumnRenamed(old, new)
     met = owners.withColumnRenamed("eid", "e1").join(asked, [*group, "level", "cx", "cy"])

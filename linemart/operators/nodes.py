@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linemart.functions import columns as C
 from linemart.operators import geometry
-from linemart.operators.boundaries import dissolve
+from linemart.operators.boundaries import celled, dissolve, level_of, levels_in
 from linemart.operators.held import once
 
 RINGS = "array<array<array<double>>>"
@@ -61,17 +61,20 @@ def _covering(key: tuple, spots: pd.DataFrame, shapes: pd.DataFrame) -> pd.DataF
     return spots.loc[hit, ["node", "parish_code"]]
 
 
-def point_in_parish(nodes: DataFrame, boundaries: DataFrame, cell: float = 0.25, parts: int = 8) -> DataFrame:
+def point_in_parish(nodes: DataFrame, boundaries: DataFrame, parts: int = 8) -> DataFrame:
     """(node, parish_code) of located nodes: the smallest code among parishes that cover the point, borders included.
 
-    Points and boxes meet in grid cells by an equi-join, of any size, without polygons. The candidates of a parish then
-    meet its polygons once in each of `parts` parts, where all are tested together; parts split a crowded parish.
+    Points and boxes meet by an equi-join on grid cells without polygons; cells are of each box's own size, rounded up to a
+    power of four, so islands and provinces take four cells each at most, and points ask at every size that occurs. The
+    candidates of a parish then meet its polygons once in each of `parts` parts, where all are tested together; parts split
+    a crowded parish.
     """
-    grid = lambda c: F.floor(F.col(c) / cell)
-    boxes = with_box(boundaries).drop("polygons").withColumn("_gx", F.explode(F.sequence(grid("min_x"), grid("max_x")))).withColumn("_gy", F.explode(F.sequence(grid("min_y"), grid("max_y"))))
-    boxes = boxes.select("parish_code", "min_x", "max_x", "min_y", "max_y", "_gx", "_gy")
-    spots = nodes.filter("latitude is not null and longitude is not null").select("node", "latitude", "longitude", grid("longitude").alias("_gx"), grid("latitude").alias("_gy"))
-    near = spots.join(boxes, ["_gx", "_gy"]).filter((F.col("longitude") >= F.col("min_x")) & (F.col("longitude") <= F.col("max_x")) & (F.col("latitude") >= F.col("min_y")) & (F.col("latitude") <= F.col("max_y")))
+    boxes = with_box(boundaries).drop("polygons").filter("min_x is not null")
+    boxes = celled(boxes.withColumn("level", level_of(F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"), F.lit(1e-9)))), "min_x", "max_x", "min_y", "max_y")
+    boxes = boxes.select("parish_code", "min_x", "max_x", "min_y", "max_y", "level", "cx", "cy")
+    spots = nodes.filter("latitude is not null and longitude is not null").select("node", "latitude", "longitude", F.explode(levels_in(boxes)).alias("level"))
+    spots = celled(spots, "longitude", "longitude", "latitude", "latitude")
+    near = spots.join(boxes, ["level", "cx", "cy"]).filter((F.col("longitude") >= F.col("min_x")) & (F.col("longitude") <= F.col("max_x")) & (F.col("latitude") >= F.col("min_y")) & (F.col("latitude") <= F.col("max_y")))
     near = near.select("node", "latitude", "longitude", "parish_code", F.pmod(F.xxhash64("node"), F.lit(parts)).alias("_part"))
     shapes = boundaries.select(F.col("parish_code").alias("_shape"), "polygons", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("_part"))
     kind = nodes.schema["node"].dataType.simpleString()

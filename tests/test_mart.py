@@ -173,7 +173,7 @@ def test_parishes_of_every_shape(spark):
     rows = [(c, json.dumps({"type": "MultiPolygon", "coordinates": p} if len(p) > 1 else {"type": "Polygon", "coordinates": p[0]})) for c, p in shapes.items()]
     parishes = spark.createDataFrame(rows, "parish_code string, geometry string").withColumn("polygons", nodes.parse_geojson(F.col("geometry")))
     points = [(k, i / 4 - 0.5, j / 4 - 0.5) for k, (i, j) in enumerate((i, j) for i in range(21) for j in range(21))]
-    found = nodes.point_in_parish(spark.createDataFrame(points, "node long, longitude double, latitude double"), parishes, cell=0.7, parts=3)
+    found = nodes.point_in_parish(spark.createDataFrame(points, "node long, longitude double, latitude double"), parishes, parts=3)
 
     def inside(x, y, rings):
         odd = False
