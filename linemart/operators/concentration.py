@@ -21,7 +21,11 @@ def reported_market(provider_month: DataFrame) -> DataFrame:
 
 def market_share(fact: DataFrame, bridge: DataFrame | None = None) -> DataFrame:
     """Share, HHI term, rank and coverage of each provider in each market; null for providers that did not report."""
-    p = provider_territory_month(fact, bridge)
+    return shares_of(provider_territory_month(fact, bridge))
+
+
+def shares_of(p: DataFrame) -> DataFrame:
+    """The same from sums by month, territory and provider, such as a stored mart holds."""
     w = Window.partitionBy(*MARKET)
     own = F.when(F.col("has_reported"), F.col("lines_reported"))
     p = p.withColumn("market_reported", F.sum(F.coalesce(own, F.lit(0))).over(w)).withColumn("n_reported", F.count_if("has_reported").over(w)).withColumn("n_providers", F.count("*").over(w))

@@ -135,8 +135,11 @@ def provider_territory_month(fact: DataFrame, bridge: DataFrame | None = None) -
 
 def market_summary(fact: DataFrame, bridge: DataFrame | None = None) -> DataFrame:
     """Market totals by month and territory, and providers by whether they have lines, none, or no data."""
-    p = provider_territory_month(fact, bridge)
-    out = p.groupBy("period_id", "month", "territory_id").agg(
+    return market_totals(provider_territory_month(fact, bridge))
+
+
+def market_totals(provider_month: DataFrame) -> DataFrame:
+    out = provider_month.groupBy("period_id", "month", "territory_id").agg(
         F.sum("lines").alias("lines"), F.sum("users").alias("users"), F.sum("lines_reported").alias("lines_reported"), F.sum("lines_imputed").alias("lines_imputed"),
         F.count("*").alias("n_providers"), F.count_if((F.col("with_data") > 0) & (F.col("lines") > 0)).alias("n_positive"),
         F.count_if((F.col("with_data") > 0) & (F.col("lines") == 0)).alias("n_zero"), F.count_if(F.col("with_data") == 0).alias("n_no_data"),

@@ -64,7 +64,7 @@ def upsert_summary(spark: SparkSession, path: str, batch: DataFrame, key: list[s
     twice = batch.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").limit(1).collect()
     if twice:
         raise ValueError(f"the batch has {twice[0]['n']} rows of the key {tuple(twice[0][k] for k in key)}")
-    number = _claimed(spark, path)
+    number = claimed(spark, path)
     touched = batch.select(*partitions).distinct()
     manifest, after = touched.withColumn("batch", F.lit(number)), stamped
     based_on = current_version(spark, f"{path}/manifest")
@@ -74,6 +74,11 @@ def upsert_summary(spark: SparkSession, path: str, batch: DataFrame, key: list[s
         after = upsert(held, stamped, key)
         manifest = before.alias("a").join(touched.alias("b"), same("a", "b", partitions), "left_anti").unionByName(manifest)
     after.write.partitionBy(*partitions).parquet(f"{path}/data/batch={number}")
+    publish_claimed(spark, manifest, path, number, based_on)
+
+
+def publish_claimed(spark: SparkSession, manifest: DataFrame, path: str, number: int, based_on: int | None) -> None:
+    """Makes a manifest the current one; it is withdrawn if another was published since the version that it is based on."""
     publish_with_previous(spark, manifest, f"{path}/manifest", number)
     if {n for n in _numbers(spark, f"{path}/manifest", "current") if based_on is None or n > based_on} != {number}:
         fs, mark = _folder(spark, f"{path}/manifest/current={number}")
@@ -81,7 +86,7 @@ def upsert_summary(spark: SparkSession, path: str, batch: DataFrame, key: list[s
         raise RuntimeError(f"another upsert into {path} was published meanwhile; this one is withdrawn, and may be run again")
 
 
-def _claimed(spark: SparkSession, path: str) -> int:
+def claimed(spark: SparkSession, path: str) -> int:
     """A batch number that no other writer has: its claim, an empty file, is created only if there is none."""
     number = max([-1, *_numbers(spark, f"{path}/data", "batch"), *_numbers(spark, f"{path}/claims", "batch"), *_numbers(spark, f"{path}/manifest", "version")]) + 1
     while True:
@@ -138,6 +143,13 @@ def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{prefix}=") and n.partition("=")[2].isdigit())
 
 
+def globbed(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """The folders below path that a pattern names, as paths relative to it."""
+    fs, where = _folder(spark, f"{path}/{pattern}")
+    depth = pattern.count("/") + 1
+    return ["/".join(str(x.getPath()).split("/")[-depth:]) for x in fs.globStatus(where) or []]
+
+
 def current_version(spark: SparkSession, path: str) -> int | None:
     """The published version: the highest with a mark. A version without one was never finished."""
     return max(_numbers(spark, path, "current"), default=None)

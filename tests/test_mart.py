@@ -298,7 +298,7 @@ def test_writers_at_once_do_not_share_a_number(spark, tmp_path, monkeypatch):
     path = f"{tmp_path}/t"
     tables.upsert_summary(spark, path, row("a", 1), ["licence"], ["year"])
     with ThreadPoolExecutor(4) as pool:
-        assert len({f.result() for f in [pool.submit(tables._claimed, spark, path) for _ in range(12)]}) == 12
+        assert len({f.result() for f in [pool.submit(tables.claimed, spark, path) for _ in range(12)]}) == 12
     upserted = tables.upsert
 
     def slow(*args):  # another writer gets in between
