@@ -7,17 +7,12 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df as Parquet files in spark.checkpoint.dir, cut off from its lineage; where that is unset, in a temporary folder of a local session.
-
-    Files keep the true size of what they hold. A plain checkpoint keeps the estimate, which in repeated joins of a table with
-    itself doubles its digits each time. They stay until the folder is emptied, as plain checkpoints do.
-    """
-    spark = df.sparkSession
+def new_folder(spark: SparkSession, name: str = "held") -> str:
+    """The path of a folder that is not there yet in spark.checkpoint.dir; where that is unset, in a temporary folder of a local session."""
     sc = spark.sparkContext
     folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -26,9 +21,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
         folder = tempfile.mkdtemp(prefix="spark-held-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         sc.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/held-{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df as Parquet files in a new folder, cut off from its lineage.
+
+    Files keep the true size of what they hold. A plain checkpoint keeps the estimate, which in repeated joins of a table with
+    itself doubles its digits each time. They stay until the folder is emptied, as plain checkpoints do.
+    """
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:

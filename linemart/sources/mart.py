@@ -57,13 +57,13 @@ class StoredMart:
     def share_cells(self) -> DataFrame:
         return refresh.provider_month_of(self.layer("provider_month"))
 
-    def build(self, reports: DataFrame, parts: int = 16) -> None:
-        """All layers from all reports, in so many parts a month."""
+    def build(self, reports: DataFrame, parts: int | None = None, rows: int = 250_000) -> None:
+        """All layers from all reports, in so many parts a month, or as many as give parts of so many reports on average."""
         if self.version is not None:
             raise ValueError(f"{self.path} holds a mart already")
-        number, self.parts = claimed(self.spark, self.path), parts
         dated = reports.filter(F.col("month").isNotNull())
-        self._one_each(dated)
+        n, months = self._one_each(dated)
+        number, self.parts = claimed(self.spark, self.path), parts or max(1, -(-n // (max(1, months) * rows)))
         made = {
             "reports": lambda: dated,
             "series": lambda: refresh.report_months(self.layer("reports"), self.series),
@@ -78,7 +78,7 @@ class StoredMart:
             df = rows()
             self.schemas[name] = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
             self._write(name, df, number)
-        layout = [(name, schema.json(), parts) for name, schema in self.schemas.items()]
+        layout = [(name, schema.json(), self.parts) for name, schema in self.schemas.items()]
         self.spark.createDataFrame(layout, "layer string, schema string, parts int").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/layout")
         self._publish(number)
 
@@ -92,8 +92,8 @@ class StoredMart:
         """
         if self.version is None:
             raise ValueError(f"{self.path} holds no mart")
-        self._one_each(batch)
-        reports = batch.filter(F.col("month").isNotNull()).select(*self.schemas["reports"].names)
+        reports = checkpointed(batch.filter(F.col("month").isNotNull()).select(*self.schemas["reports"].names))
+        self._one_each(reports)
         at = self._folders("reports", reports)
         changed = checkpointed(refresh.changed_reports(self.layer("reports", at), reports, self.key))
         if changed.isEmpty():
@@ -185,10 +185,13 @@ class StoredMart:
         self.next[name] |= dict.fromkeys(found, number)
         return len(found)
 
-    def _one_each(self, reports: DataFrame) -> None:
-        twice = reports.filter(F.col("month").isNotNull()).groupBy(*self.key).agg(F.count("*").alias("n")).filter("n > 1").limit(1).collect()
-        if twice:
-            raise ValueError(f"there are {twice[0]['n']} reports of the key {tuple(twice[0][k] for k in self.key)}")
+    def _one_each(self, reports: DataFrame) -> tuple[int, int]:
+        """(rows, months) of reports, each of which must be the only one of its key."""
+        counted = reports.groupBy(*self.key).agg(F.count("*").alias("n"))
+        found = counted.agg(F.count("*").alias("rows"), F.count_distinct("month").alias("months"), F.max_by(F.struct("n", *self.key), "n").alias("most")).first()
+        if found["rows"] and found["most"]["n"] > 1:
+            raise ValueError(f"there are {found['most']['n']} reports of the key {tuple(found['most'][k] for k in self.key)}")
+        return found["rows"], found["months"]
 
     def _publish(self, number: int) -> None:
         rows = [(layer, folder, n) for layer, folders in self.next.items() for folder, n in folders.items()]
