@@ -225,6 +225,16 @@ def test_normalise_equals_its_two_steps(spark):
             assert got == {(x.id, x.tax_id) for x in left.collect()}
 
 
+def test_a_tax_id_that_a_test_name_takes_out_is_nobodys_latest(spark):
+    """a shares its tax id with a test provider: its rows under that go, those without a tax id stay and have none; b falls back to its own other one."""
+    rows = [("a", "9", "n", D(2020, 1)), ("a", None, "n", D(2020, 2)), ("t", "9", "de Prueba", D(2020, 1)), ("b", "9", "n", D(2020, 3)), ("b", "5", "n", D(2020, 1)), ("b", None, "n", D(2020, 4))]
+    df = spark.createDataFrame([(*x, "1", "2", "3") for x in rows], "licence string, tax_id_raw string, provider_name string, month date, province_code string, canton_code string, parish_code string")
+    expected = {("a", D(2020, 2), "PEVA|a"), ("b", D(2020, 1), "RUC|5"), ("b", D(2020, 4), "RUC|5")}
+    assert {(x.licence, x.month, x.provider_id) for x in identity.normalise(df, df).collect()} == expected
+    left = identity.resolve_tax_id(identity.exclude_test_providers(df), df)
+    assert {(x.licence, x.tax_id) for x in left.collect()} == {("a", None), ("b", "5")}
+
+
 def test_plans_compile(spark, capfd):
     """Coordinates under a filter, and facts with their many measures: no plan falls back to interpreted code."""
     spark.conf.set("spark.sql.codegen.fallback", "false")
