@@ -124,6 +124,13 @@ def test_concentration(spark):
     assert [(r.provider_id, r.n_months) for r in concentration.absence_episodes(share).collect()] == [("a", 1)]
 
 
+def test_cr2_of_a_half_is_rounded_up_whatever_doubles_say(spark):
+    """6.145324 + 0.791726 is 6.93705, but 6.937049999999999 in doubles."""
+    schema = "provider_id string, rank int, share_pct double, hhi_term double, market_reported long, lines_imputed long, n_reported long, n_providers long, coverage_pct double, period_id int, month date, territory_id string"
+    share = spark.createDataFrame([(p, k, v, v * v, 9, 0, 2, 2, 100.0, 202001, D(2020, 1), "t") for p, k, v in (("a", 1, 6.145324), ("b", 2, 0.791726))], schema)
+    assert concentration.hhi(share).first().cr2 == 6.9371
+
+
 def test_two_notions_of_the_month_before(spark):
     m = spark.createDataFrame([(202001, D(2020, 1), "t", 10), (202003, D(2020, 3), "t", 20), (202101, D(2021, 1), "t", 5)], "period_id int, month date, territory_id string, lines long")
     by = {r.period_id: r for r in facts.calendar_offset_join(m).collect()}
