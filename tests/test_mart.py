@@ -215,6 +215,13 @@ def test_mart_check_rows_are_the_rows_that_break_a_check(spark):
     assert {r.check: r.n_bad for r in quality.mart_checks(fact, share, hhi, market).collect()} == {r.check: 1 for r in rows}
 
 
+def test_mart_checks_make_the_mart_once(spark):
+    """Each registered check reads the line detail once in all, not once for each of the eight checks and twelve of their inputs."""
+    for name in ("mart_checks", "mart_check_rows"):
+        plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_shipdate" not in plan, name
+
+
 def test_normalise_equals_its_two_steps(spark):
     """Test names that take out a tax id or a licence, blanks, null months and licences, against exclusion and resolution one after the other."""
     r = random.Random(4)
