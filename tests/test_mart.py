@@ -249,6 +249,18 @@ def test_a_tax_id_that_a_test_name_takes_out_is_nobodys_latest(spark):
     assert {(x.licence, x.tax_id) for x in left.collect()} == {("a", None), ("b", "5")}
 
 
+def test_percentages_round_as_sql_rounds_doubles(spark):
+    """Halves that the double is just under stay under, in both signs; F.round takes them for halves. Results are those of SQL, row by row."""
+    duckdb = pytest.importorskip("duckdb")
+    pairs = [(201, 20000), (-201, 20000), (1, 200000), (23, 40000), (-1, 3), (7, 0), (10**15, 1)] + [(k * 3 + 1, 16000) for k in range(3000)] + [(-k, 8000) for k in range(1000)]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    got = [r.p for r in df.select(C.pct(F.col("a"), F.col("b"), 2).alias("p")).collect()]
+    one = duckdb.connect().execute
+    want = [r[0] for r in one("SELECT round(100.0 * a::DOUBLE / nullif(b, 0), 2) FROM (SELECT unnest(?) AS a, unnest(?) AS b)", [[a for a, _ in pairs], [b for _, b in pairs]]).fetchall()]
+    assert got == want
+    assert got[:2] == [1.0, -1.0]
+
+
 def test_plans_compile(spark, capfd):
     """Coordinates under a filter, and facts with their many measures: no plan falls back to interpreted code."""
     spark.conf.set("spark.sql.codegen.fallback", "false")
