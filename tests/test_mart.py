@@ -261,6 +261,21 @@ def test_percentages_round_as_sql_rounds_doubles(spark):
     assert got[:2] == [1.0, -1.0]
 
 
+def test_months_between_reports_are_not_shuffled(spark):
+    """Rows of each month are made where the facts of their provider and geography are: no exchange stands above the explosion."""
+    for df in (registry.Mart(spark, "/root/testdata/sf0.001").fact, registry.Mart(spark, "/root/testdata/sf0.001").licence_geo):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "sequence(" in plan and "Exchange" not in plan[: plan.index("sequence(")]
+
+
+def test_territories_are_made_in_one_read(spark):
+    m = registry.Mart(spark, "/root/testdata/sf0.001")
+    assert m.territories._jdf.queryExecution().executedPlan().toString().count("Union") == 0
+    g = spark.createDataFrame([("01", "p", "0101", "c", None, None), (None, None, "0101", "b", "010101", "q")], ", ".join(f"{c} string" for c in dims.GEOGRAPHY))
+    assert {tuple(r) for r in dims.territory_dimension(g).collect()} == {
+        ("NACIONAL|ECUADOR", "NACIONAL", 0, None, "Ecuador"), ("PROVINCIA|01", "PROVINCIA", 1, "01", "p"), ("CANTON|0101", "CANTON", 2, "0101", "b"), ("PARROQUIA|010101", "PARROQUIA", 3, "010101", "q")}
+
+
 def test_plans_compile(spark, capfd):
     """Coordinates under a filter, and facts with their many measures: no plan falls back to interpreted code."""
     spark.conf.set("spark.sql.codegen.fallback", "false")
