@@ -372,3 +372,13 @@ def test_flagship_is_sound(spark):
     assert all(v == 0 for k, v in checks.items() if k not in may_fail) and len(checks) == 8
     assert dims.territory_dimension(m.geographies).filter("level = 'NACIONAL'").count() == 1
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_national_shares_and_provider_months_are_made_once(spark, monkeypatch):
+    """Alert, dependency and stopped providers read all facts once for each table that they need: what is read again is stored."""
+    m = registry.Mart(spark, "/root/testdata/sf0.001")
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("l_shipdate#")
+    assert scans(concentration.dominant_absent_alert(m.share, 3.0)) == 0
+    assert scans(compliance.stopped_reporting(m.fact, m.providers)) == 0
+    fact, geographies = scans(m.fact), scans(m.geographies)
+    assert scans(compliance.geographic_dependency(m.fact, m.share, m.geographies, 200106, 0.5)) <= fact + geographies
