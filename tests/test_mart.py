@@ -268,6 +268,17 @@ def test_months_between_reports_are_not_shuffled(spark):
         assert "sequence(" in plan and "Exchange" not in plan[: plan.index("sequence(")]
 
 
+def test_lines_meet_once_in_numbers(spark):
+    """Grouping and gap filling share one exchange, in which no text of `DETAIL` is; what comes out is what the texts would give."""
+    m = registry.Mart(spark, "/root/testdata/sf0.001")
+    plan = m.carried._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(l_suppkey") == 1
+    by_text = facts.monthly_line_summary(m.detail, [*registry.NATURAL_KEY, *registry.ATTRIBUTES])
+    for got, want in ((m.summary, by_text), (m.consolidated, gapfill.interior_locf(by_text, registry.SERIES))):
+        assert got.columns == want.columns
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and not got.isEmpty()
+
+
 def test_territories_are_made_in_one_read(spark):
     m = registry.Mart(spark, "/root/testdata/sf0.001")
     assert m.territories._jdf.queryExecution().executedPlan().toString().count("Union") == 0
