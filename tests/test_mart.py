@@ -197,6 +197,18 @@ def test_parishes_of_every_shape(spark):
     assert [r.parish_code for r in nodes.nonstandard_codes(parishes.withColumns({"canton_code": F.lit("0001"), "province_code": F.lit("01")})).collect()] == ["ISLA"]
 
 
+def test_parishes_go_to_python_in_batches(spark):
+    """No Python call for each parish: what holds few nodes is tested with others. Without polygons or without a hit there is no row."""
+    square = lambda x: [[[[x, 0.0], [x + 1, 0.0], [x + 1, 1.0], [x, 1.0], [x, 0.0]]]]
+    hook = [[[[8.0, 0.0], [9.0, 0.0], [8.0, 1.0], [8.0, 0.0]]]]
+    shapes = spark.createDataFrame([("b", square(0.0)), ("a", square(1.0)), ("c", None), ("d", hook)], f"parish_code string, polygons {nodes.POLYGONS}")
+    spots = spark.createDataFrame([(k, 0.5, x) for k, x in enumerate((0.5, 1.0, 1.5, 8.9))], "node long, latitude double, longitude double")
+    found = nodes.point_in_parish(spots, shapes)
+    assert "CoGroup" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in found.collect()} == {(0, "b"), (1, "a"), (2, "a")}
+    assert nodes.point_in_parish(spots.filter("longitude > 8"), shapes).collect() == []
+
+
 def test_mart_check_rows_are_the_rows_that_break_a_check(spark):
     split = facts.split_measures()
     fact = spark.createDataFrame(
