@@ -405,3 +405,30 @@ def test_national_shares_and_provider_months_are_made_once(spark, monkeypatch):
     assert scans(compliance.stopped_reporting(m.fact, m.providers)) == 0
     fact, geographies = scans(m.fact), scans(m.geographies)
     assert scans(compliance.geographic_dependency(m.fact, m.share, m.geographies, 200106, 0.5)) <= fact + geographies
+
+
+def test_facts_are_not_exchanged_for_markets(spark):
+    m = registry.Mart(spark, "/root/testdata/sf0.001")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    parishes, above = m.provider_months
+    assert "hashpartitioning(period_id" not in plan(facts.market_totals(parishes))
+    assert "hashpartitioning(period_id" not in plan(concentration.shares_of(parishes))
+    assert plan(above).count("hashpartitioning(period_id") == 1  # sums of areas, not facts
+    wide = plan(m.speeds)
+    assert wide.count("hashpartitioning(period_id") == 1 and "REPARTITION_BY_NUM" in wide
+
+
+def test_sums_of_parishes_and_areas_are_those_of_all_territories(spark):
+    r = random.Random(5)
+    rows = []
+    for k in range(300):
+        place = "|".join(["GEO", r.choice(["01", "02", "SIN_PROVINCIA"]), r.choice(["0101", "0102", "SIN_CANTON"]), r.choice(["010101", "010102", "SIN_PARROQUIA"])])
+        lines = r.choice([None, 0, 3, 5])
+        rows.append((199901, D(1999, 1), f"P{k % 7}", place, lines, r.choice([None, 4]), lines, None, lines is not None, r.random() < 0.5))
+    fact = spark.createDataFrame(rows, "period_id int, month date, provider_id string, geography_id string, lines long, users long, lines_reported long, lines_imputed long, has_reported boolean, has_imputed boolean")
+    whole = {tuple(x) for x in facts.provider_territory_month(fact).collect()}
+    at = facts.parish_territory(F.col("geography_id"))
+    parishes = facts.provider_sums(fact.withColumn("territory_id", at).filter("territory_id is not null"), facts.PROVIDER_CELL)
+    above = facts.provider_area_month(fact.withColumn("area", facts.area_id(F.col("geography_id"))))
+    apart = [tuple(x) for x in parishes.unionByName(above).collect()]
+    assert len(apart) == len(set(apart)) and set(apart) == whole
