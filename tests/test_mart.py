@@ -432,3 +432,8 @@ def test_sums_of_parishes_and_areas_are_those_of_all_territories(spark):
     above = facts.provider_area_month(fact.withColumn("area", facts.area_id(F.col("geography_id"))))
     apart = [tuple(x) for x in parishes.unionByName(above).collect()]
     assert len(apart) == len(set(apart)) and set(apart) == whole
+
+
+def test_territories_of_providers_need_no_months_between(spark):
+    plan = registry.queries()["territories_of_providers"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lead(" not in plan and "sequence(" not in plan
