@@ -246,3 +246,15 @@ def test_a_hole_in_a_bay_is_not_shut_out():
     outer, inner = geometry.simplify_rings([bay, hole], 1.0)
     assert geometry.covers(hole[:, 0], hole[:, 1], [[outer]]).all() and len(inner) == 4
     assert len(geometry.simplify_rings([bay], 1.0)[0]) == 5
+
+
+def test_touching_rings_go_to_python_in_batches(spark):
+    """One call for many polygons, and short rows of one file in as many parts as there are."""
+    import pandas as pd
+
+    calls = list(boundaries._cut_up(iter([pd.DataFrame({"_row": [1, 2], "rings": [[1, 1, 2, 2], [1, 2, 3, 3]], "xs": [[0.0, 1.0, 0.0, 1.0], [0.0, 0.0, 0.0, 1.0]], "ys": [[0.0] * 4, [0.0] * 4]})])))
+    assert [c.values.tolist() for c in calls] == [[[1, boundaries.SPLIT]]]
+    square = [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0], [0.0, 0.0]]]]
+    rows = spark.createDataFrame([(str(k), square) for k in range(40)], "parish_code string, polygons array<array<array<array<double>>>>").coalesce(1)
+    plan = boundaries.offences(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in plan and "MapInPandas" in plan and "REPARTITION_BY_NUM" in plan
