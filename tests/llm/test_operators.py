@@ -651,6 +651,30 @@ def test_html_wrappers_leave_rare_items_out():
     assert len(whole.packed()) < 150
 
 
+def test_html_rare_items_count_however_many_pages_a_host_has(spark):
+    """Pages that are under a hundredth of their host's, and articles whose class no other page has, are read as on a small host."""
+    name = lambda k: "".join(chr(97 + int(c)) for c in str(k))
+    usual = "<body><div class=w><article><p>Story {k}</p></article></div><div class=tail><p>Note {k}</p></div></body>"
+    rare = "<body><section class=odd><article><p>Story {k}</p></article></section><div class=tail><p>Note {k}</p></div></body>"
+    own = "<body><div class={n}><article class='of-{n}'><p>Story {k}</p></article></div><div class=tail><p>Note {k}</p></div></body>"
+    pages = [(k, "http://big.example/", (rare if k < 3 else usual).format(k=k)) for k in range(500)] + [(k, "http://own.example/", own.format(k=k, n=name(k))) for k in range(1000, 1600)]
+    got = {r.page_id: r.text for r in html_wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == {k: f"Story {k}" for k, _, _ in pages}
+
+
+def test_html_wrappers_are_joined_by_size():
+    """Time follows what is distinct in the pages, and nothing that any page has is lost."""
+    stack, items = [], 0
+    began = time.perf_counter()
+    for k in range(8000):
+        made = html_wrapper.page_items(f"<body><h1>T{k}</h1><div class={'x' + ''.join(chr(97 + int(c)) for c in str(k))}>odd {k}</div><p>Story {k}</p></body>")
+        html_wrapper.pushed(stack, made)
+        items += 1
+    whole = html_wrapper.joined_up(stack)
+    assert whole.pages == items and time.perf_counter() - began < 60
+    assert len({x[0] for x in whole.packed() if x[0].startswith("div x")}) == items
+
+
 def test_html_malformed_pages_end():
     cut = "<body><p>Text</p><a " + " ".join(f'data-a{k}="v"' for k in range(40))
     assert [x for x in html_wrapper.walk(cut)][:3] == [("open", "body"), ("open", "p"), ("text", "Text")]
