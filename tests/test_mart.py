@@ -437,3 +437,20 @@ def test_sums_of_parishes_and_areas_are_those_of_all_territories(spark):
 def test_territories_of_providers_need_no_months_between(spark):
     plan = registry.queries()["territories_of_providers"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "lead(" not in plan and "sequence(" not in plan
+
+
+def test_shares_are_not_exchanged_for_names(spark):
+    """However large the dimensions are; the same rows as those that all dimensions are joined to."""
+    m = registry.Mart(spark, "/root/testdata/sf0.001")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        view = registry.queries()["vw_share"](spark, m.sf_dir)
+        plan = view._jdf.queryExecution().executedPlan().toString()
+        share_joins = [x for x in plan.split("\n") if "Join [" in x and ("[_p#" in x or "[period_id#" in x)]
+        assert not [x for x in share_joins if "Join [provider_id#" in x] and all("BroadcastHashJoin [period_id#" in x or "[_p#" in x for x in share_joins)
+        assert "hashpartitioning(territory_id" in plan and "Exchange hashpartitioning(period_id" in plan  # the sums of areas are
+        want = dims.star_view(m.share, m.periods, m.territories, m.providers).select(*view.columns)
+        assert sorted(map(repr, view.collect())) == sorted(map(repr, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
