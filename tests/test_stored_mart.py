@@ -102,3 +102,27 @@ def test_errors_and_empty_marts(spark, tmp_path):
         late.reload(frame(spark, [report(lines=5)]))
     late.refresh()
     assert late.reload(frame(spark, [report(lines=5)]))["reports"] == 1
+
+
+@pytest.mark.parametrize("seed", [7, 11])
+def test_random_reloads_without_stored_detail(spark, tmp_path, seed):
+    """What is not stored is made of the reports: the same layers, counters and markets, and no files of detail."""
+    r = random.Random(seed)
+
+    def some():
+        return report(
+            r.choice(["1", "2", "3", " ", None]), r.choice(["010101", "010102", None]), r.choice([(2020, m) for m in range(1, 9)]), r.choice([None, "11", "1-1", "22", "33"]),
+            r.choice(["n"] * 9 + ["Prueba"]), r.choice([0, 1, 2, 2, None]), r.choice([1, 5, None]), r.choice([None, "S"]), r.choice(["01", "01", "02", None]),
+        )
+
+    held = {key(x): x for x in [some() for _ in range(25)]}
+    mart = StoredMart(spark, f"{tmp_path}/m", SERIES)
+    mart.build(frame(spark, held.values()), parts=2, detail=False)
+    assert not {"filled", "licence_geo", "fact"} & set(mart.held)
+    assert_as_built_again(spark, mart, held.values())
+    for n in (2, 7):
+        batch = {key(x): x for x in [some() for _ in range(n)]}
+        written = mart.reload(frame(spark, batch.values()))
+        held |= batch
+        assert not {"filled", "licence_geo", "fact"} & set(written)
+        assert_as_built_again(spark, StoredMart(spark, f"{tmp_path}/m", SERIES), held.values())
